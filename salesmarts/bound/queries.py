@@ -48,11 +48,11 @@ def all_queries() -> dict[str, Query]:
 
 def _order_sales(t: BoundTables, region: bool = False) -> DataFrame:
     orders = t.placed_orders() if region else t.dated_orders()
-    return fact.order_sales(t.silver_order_details(), orders)
+    return fact.order_sales(t.order_lines(), orders)
 
 
 def _product_sales(t: BoundTables) -> DataFrame:
-    return fact.product_sales(t.silver_order_details(), t.sold_products())
+    return fact.product_sales(t.order_lines(), t.sold_products())
 
 
 def _fact(t: BoundTables, how: str = "left") -> DataFrame:

@@ -5,7 +5,8 @@ How the columns correspond:
 - customers: ``customer`` with its nation's name as country;
 - orders: ``orders``; the ship country is the customer's; the order's employee is the
   lowest supplier number among its lines and it has shipped when its last line has;
-- order lines: ``lineitem``; a line's unit price is its extended price over its quantity;
+- order lines: ``lineitem``; a line's unit price is its extended price over its quantity,
+  to the cent;
 - products: ``part``; its category is the brand, its supplier the lowest supplier number
   among its lines; employees and suppliers: ``supplier``;
 - region lookup: ``nation`` and ``region``;
@@ -19,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmarts.functions.numeric import to_cents
 from salesmarts.operators import conform
 
 BASIC_ORDER = ("order_id", "order_date", "customer_id")
@@ -99,12 +101,13 @@ class BoundTables:
 
     def order_details(self) -> DataFrame:
         quantity = F.col("l_quantity").cast("bigint")
-        cents = (F.col("l_extendedprice").cast("decimal(14,2)") * 100).cast("bigint")
-        unit_cents = F.call_function("div", cents * 2 + quantity, quantity * 2)
+        unit_cents = F.call_function(
+            "div", to_cents(F.col("l_extendedprice")) * 2 + quantity, quantity * 2
+        )
         return self.read("lineitem").select(
             F.col("l_orderkey").alias("OrderID"),
             F.col("l_partkey").alias("ProductID"),
-            (unit_cents.cast("decimal(12,0)") * F.lit("0.01").cast("decimal(2,2)")).alias("UnitPrice"),
+            (unit_cents / 100).alias("UnitPrice"),
             quantity.cast("int").alias("Quantity"),
             F.col("l_discount").alias("Discount"),
         )
@@ -204,5 +207,8 @@ class BoundTables:
     def silver_order_details(self) -> DataFrame:
         return conform.silver_order_details(self.order_details())
 
+    def order_lines(self) -> DataFrame:
+        return conform.order_lines(self.order_details())
+
     def silver_customer_activity(self) -> DataFrame:
         return conform.silver_customer_activity(self.activity_export())

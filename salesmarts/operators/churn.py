@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmarts.functions.dates import as_date
-from salesmarts.functions.numeric import half_up_ratio, percent
+from salesmarts.functions.numeric import from_cents, half_up_ratio, percent
 
 CHURN_COLUMNS = (
     "customer_id", "company_name", "country", "region",
@@ -21,7 +21,7 @@ def customer_rfm(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """One row per customer: orders, total, first and last day, region of the last order."""
     per_customer = orders.groupBy("customer_id").agg(
         F.count("order_id").alias("frequency_orders"),
-        F.sum("revenue").alias("monetary_total"),
+        from_cents(F.sum("revenue_cents")).alias("monetary_total"),
         F.max("order_date").alias("last_order_date"),
         F.min("order_date").alias("first_order_date"),
         F.max_by("region", F.struct("order_date", "order_id")).alias("region"),

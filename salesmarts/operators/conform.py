@@ -14,9 +14,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmarts.functions.dates import iso_date
-from salesmarts.functions.numeric import discount_rate, line_revenue, price
+from salesmarts.functions.numeric import (
+    AMOUNT,
+    DISCOUNT,
+    PRICE,
+    from_cents,
+    line_revenue_cents,
+    to_cents,
+)
 from salesmarts.functions.text import clean_text, conform_key
 from salesmarts.operators.dedup import keep_one
+from salesmarts.operators.joins import attach
 
 Rule = tuple[str, Callable[[Column], Column]]
 
@@ -29,6 +37,10 @@ def _int(c: Column) -> Column:
     return c.try_cast("int")
 
 
+def _price(c: Column) -> Column:
+    return from_cents(to_cents(c), PRICE)
+
+
 CUSTOMERS: dict[str, Rule] = {
     "customer_id": ("CustomerID", conform_key),
     "company_name": ("CompanyName", clean_text),
@@ -54,15 +66,15 @@ PRODUCTS: dict[str, Rule] = {
     "product_id": ("ProductID", _bigint),
     "product_name": ("ProductName", clean_text),
     "category_id": ("CategoryID", _bigint),
-    "unit_price": ("UnitPrice", price),
+    "unit_price": ("UnitPrice", _price),
     "supplier_id": ("SupplierID", _bigint),
 }
 ORDER_DETAILS: dict[str, Rule] = {
     "order_id": ("OrderID", _bigint),
     "product_id": ("ProductID", _bigint),
-    "unit_price": ("UnitPrice", price),
+    "price_cents": ("UnitPrice", to_cents),
     "quantity": ("Quantity", _int),
-    "discount": ("Discount", discount_rate),
+    "discount_cents": ("Discount", lambda c: to_cents(c, DISCOUNT)),
 }
 ACTIVITY: dict[str, Rule] = {
     "customer_id": ("CustomerID", conform_key),
@@ -120,9 +132,7 @@ def silver_employees(raw: DataFrame) -> DataFrame:
 def with_region(orders: DataFrame, region_lookup: DataFrame) -> DataFrame:
     """Add the region of the ship country; an unknown country keeps its order, region null."""
     lookup = keep_one(conform(region_lookup, REGIONS), ["country_key"])
-    return orders.join(
-        lookup, conform_key(orders["ship_country"]) == lookup["country_key"], "left"
-    ).drop("country_key")
+    return attach(orders, lookup, "country_key", on=conform_key(orders["ship_country"]))
 
 
 def silver_orders(
@@ -145,18 +155,32 @@ def silver_products(
     products = keep_one(conform(raw, PRODUCTS, columns), ["product_id"])
     if categories is not None:
         named = keep_one(conform(categories, CATEGORIES), ["category_id"])
-        products = products.join(named, "category_id", "left")
+        products = attach(products, named, "category_id")
     if suppliers is not None:
         named = keep_one(conform(suppliers, SUPPLIERS), ["supplier_id"])
-        products = products.join(named, "supplier_id", "left")
+        products = attach(products, named, "supplier_id")
     return products.select(*[c for c in SILVER_PRODUCTS if c in products.columns])
 
 
-def silver_order_details(raw: DataFrame) -> DataFrame:
-    lines = conform(raw, ORDER_DETAILS)
-    return lines.withColumn(
-        "line_revenue", line_revenue(F.col("unit_price"), F.col("quantity"), F.col("discount"))
+def order_lines(raw: DataFrame) -> DataFrame:
+    """Order details with the line's revenue also in cents, for summing."""
+    lines = conform(raw, ORDER_DETAILS).withColumn(
+        "revenue_cents",
+        line_revenue_cents(F.col("price_cents"), F.col("quantity"), F.col("discount_cents")),
     )
+    return lines.select(
+        "order_id",
+        "product_id",
+        from_cents(F.col("price_cents"), PRICE).alias("unit_price"),
+        "quantity",
+        from_cents(F.col("discount_cents"), DISCOUNT).alias("discount"),
+        from_cents(F.col("revenue_cents"), AMOUNT).alias("line_revenue"),
+        "revenue_cents",
+    )
+
+
+def silver_order_details(raw: DataFrame) -> DataFrame:
+    return order_lines(raw).drop("revenue_cents")
 
 
 def silver_customer_activity(raw: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesmarts.operators.joins import attach
+
 FACT_COLUMNS = (
     "order_id", "order_date", "shipped_date", "region",
     "customer_id", "company_name", "country",
@@ -35,13 +37,22 @@ def sales_fact(
     sold = orders.select(
         "order_id", "order_date", "shipped_date", "region", "customer_id", "employee_id"
     )
-    sold = sold.join(
-        employees.select("employee_id", "first_name", "last_name"), "employee_id", "left"
-    ).join(customers.select("customer_id", "company_name", "country"), "customer_id", "left")
-    return (
-        lines.join(products.select("product_id", "product_name", "category_name"), "product_id", "left")
-        .join(sold, "order_id", how)
-        .select(*FACT_COLUMNS)
+    sold = attach(sold, employees.select("employee_id", "first_name", "last_name"), "employee_id")
+    sold = attach(sold, customers.select("customer_id", "company_name", "country"), "customer_id")
+    named = attach(
+        lines, products.select("product_id", "product_name", "category_name"), "product_id"
+    )
+    return attach(named, sold, "order_id", how=how).select(*FACT_COLUMNS)
+
+
+def _sums(lines: DataFrame, *keys: str) -> DataFrame:
+    """Revenue in cents and units per key, from lines with or without ``revenue_cents``."""
+    if "revenue_cents" in lines.columns:
+        revenue = F.col("revenue_cents")
+    else:
+        revenue = (F.col("line_revenue") * 100).cast("bigint")
+    return lines.groupBy(*keys).agg(
+        F.sum(revenue).alias("revenue_cents"), F.sum("quantity").alias("units")
     )
 
 
@@ -51,29 +62,21 @@ def order_sales(lines: DataFrame, orders: DataFrame, how: str = "left") -> DataF
     The lines are summed before the join: both sides then hold one row per order, so no
     order, however many lines it has, makes the join uneven.
     """
-    sums = lines.groupBy("order_id").agg(
-        F.sum("line_revenue").alias("revenue"), F.sum("quantity").alias("units")
-    )
-    return sums.join(orders, "order_id", how)
+    return _sums(lines, "order_id").join(orders, "order_id", how)
 
 
 def order_sales_of(fact: DataFrame) -> DataFrame:
     """The same sums from a stored fact."""
-    return fact.groupBy("order_id", "order_date", "customer_id", "region").agg(
-        F.sum("line_revenue").alias("revenue"), F.sum("quantity").alias("units")
-    )
+    return _sums(fact, "order_id", "order_date", "customer_id", "region")
 
 
 def product_sales(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue and units per product, summed before the product's columns are joined."""
-    sums = lines.groupBy("product_id").agg(
-        F.sum("line_revenue").alias("revenue"), F.sum("quantity").alias("units")
+    return _sums(lines, "product_id").join(
+        products.select("product_id", "product_name", "category_name"), "product_id", "left"
     )
-    return sums.join(products.select("product_id", "product_name", "category_name"), "product_id", "left")
 
 
 def product_sales_of(fact: DataFrame) -> DataFrame:
     """The same sums from a stored fact."""
-    return fact.groupBy("product_id", "product_name", "category_name").agg(
-        F.sum("line_revenue").alias("revenue"), F.sum("quantity").alias("units")
-    )
+    return _sums(fact, "product_id", "product_name", "category_name")

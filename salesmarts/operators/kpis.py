@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmarts.functions.dates import short_month
@@ -54,18 +54,24 @@ def month_label(monthly: DataFrame) -> DataFrame:
     return monthly.select("year_month", short_month(F.col("year_month")).alias("month_label"), "total_revenue")
 
 
-def share_of_max(mart: DataFrame, value: str) -> DataFrame:
-    """``value`` as a percentage of its largest, to one place.
+def _largest(mart: DataFrame, value: str) -> Column:
+    """The largest ``value`` as a scalar subquery, so that no window gathers the mart.
 
-    The maximum is a scalar subquery: no window gathers the mart in one task.
+    The maximum is taken over whole rows: the subquery then needs the same columns as the
+    mart itself and shares its shuffles instead of computing a narrower mart again.
     """
-    top = mart.select(F.max(value)).scalar()
-    return mart.withColumn("share_of_max_pct", percent(F.col(value), top))
+    row = F.struct(value, *[c for c in mart.columns if c != value])
+    return mart.select(F.max(row)[value]).scalar()
+
+
+def share_of_max(mart: DataFrame, value: str) -> DataFrame:
+    """``value`` as a percentage of its largest, to one place."""
+    return mart.withColumn("share_of_max_pct", percent(F.col(value), _largest(mart, value)))
 
 
 def fraction_of_max(mart: DataFrame, value: str) -> DataFrame:
     """``value`` as a plain fraction of its largest."""
-    top = mart.select(F.max(value).cast("double")).scalar()
+    top = _largest(mart, value).cast("double")
     return mart.withColumn("fraction_of_max", F.try_divide(F.col(value).cast("double"), top))
 
 

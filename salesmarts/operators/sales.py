@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmarts.functions.dates import month_start, year_month
+from salesmarts.functions.numeric import from_cents
+
+
+def _revenue() -> Column:
+    return from_cents(F.sum("revenue_cents")).alias("total_revenue")
 
 
 def sales_monthly(orders: DataFrame) -> DataFrame:
@@ -13,7 +18,7 @@ def sales_monthly(orders: DataFrame) -> DataFrame:
     return (
         orders.groupBy(month_start(F.col("order_date")).alias("month"))
         .agg(
-            F.sum("revenue").alias("total_revenue"),
+            _revenue(),
             F.count("order_id").alias("order_count"),
             F.count_distinct("customer_id").alias("active_customers"),
         )
@@ -26,28 +31,28 @@ def sales_monthly(orders: DataFrame) -> DataFrame:
 
 
 def sales_by_category(products: DataFrame) -> DataFrame:
+    """Revenue and units per category, best first."""
     return (
         products.groupBy("category_name")
-        .agg(F.sum("revenue").alias("total_revenue"), F.sum("units").alias("units_sold"))
+        .agg(_revenue(), F.sum("units").alias("units_sold"))
         .orderBy(F.desc("total_revenue"), "category_name")
     )
 
 
 def sales_by_region(orders: DataFrame) -> DataFrame:
+    """Revenue and orders per region, best first; orders of unknown region form one row."""
     return (
         orders.groupBy("region")
-        .agg(F.sum("revenue").alias("total_revenue"), F.count("order_id").alias("order_count"))
+        .agg(_revenue(), F.count("order_id").alias("order_count"))
         .orderBy(F.desc("total_revenue"), "region")
     )
 
 
 def top_products(products: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` products with the most revenue; the lower id wins a tie."""
-    return (
-        products.select(
-            "product_id", "product_name", "category_name",
-            F.col("revenue").alias("total_revenue"), F.col("units").alias("units_sold"),
-        )
-        .orderBy(F.desc("total_revenue"), "product_id")
-        .limit(n)
+    best = products.orderBy(F.desc("revenue_cents"), "product_id").limit(n)
+    return best.select(
+        "product_id", "product_name", "category_name",
+        from_cents(F.col("revenue_cents")).alias("total_revenue"),
+        F.col("units").alias("units_sold"),
     )
