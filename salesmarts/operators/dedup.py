@@ -16,14 +16,15 @@ def keep_one(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] | None =
     hot key is never gathered in one place; and Catalyst then knows the key is unique and
     drops a left join to this frame when none of its columns is used.
     """
-    rest = [c for c in df.columns if c not in keys]
-    ranked = list(prefer or []) + [c for c in rest if c not in (prefer or [])]
+    columns = df.columns
+    first = list(prefer or [])
+    ranked = first + [c for c in columns if c not in keys and c not in first]
     if not ranked:
         return df.distinct()
     return (
         df.groupBy(*keys)
         .agg(F.max(F.struct(*ranked)).alias("_kept"))
-        .select(*[F.col(c) if c in keys else F.col("_kept")[c].alias(c) for c in df.columns])
+        .select(*[c if c in keys else f"_kept.{c}" for c in columns])
     )
 
 

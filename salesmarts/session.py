@@ -18,6 +18,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Recording the Python line of every column expression more than doubles the calls to
+    # the JVM while a plan is built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
