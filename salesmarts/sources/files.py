@@ -80,17 +80,20 @@ def read_json_object(spark: SparkSession, path: str, key: str, value: str) -> Da
 def json_fields(
     df: DataFrame, column: str, fields: dict[str, tuple[str, str]], keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Typed columns from paths into the JSON of ``column``: name to (path, type)."""
-    parsed = df.withColumn("_json", F.parse_json(F.col(column)))
-    return parsed.select(
+    """Typed columns from paths into the JSON text or variant of ``column``: name to (path, type)."""
+    if isinstance(df.schema[column].dataType, T.StringType):
+        df = df.withColumn(column, F.parse_json(F.col(column)))
+    return df.select(
         *keep,
-        *[F.variant_get("_json", path, kind).alias(name) for name, (path, kind) in fields.items()],
+        *[F.variant_get(column, path, kind).alias(name) for name, (path, kind) in fields.items()],
     )
 
 
 def read_raw_json(spark: SparkSession, path: str) -> DataFrame:
-    """JSON array files as one text row per record, for ``json_fields``."""
+    """JSON array files as one variant per record, for ``json_fields``.
+
+    A file is taken whole, so it should be no larger than one task can hold; files with a
+    record per line need no array and are read by ``read_json_records``.
+    """
     array = F.from_json(F.col("value"), "array<variant>", {"mode": "FAILFAST"})
-    return spark.read.text(path, wholetext=True).select(
-        F.to_json(F.explode(array)).alias("raw_json")
-    )
+    return spark.read.text(path, wholetext=True).select(F.explode(array).alias("raw_json"))
