@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from salesmarts.operators import churn, conform, fact, sales
 from salesmarts.plans.config import PipelineConfig
-from salesmarts.session import scratch_path
+from salesmarts.session import scratch
 from salesmarts.sinks.exports import export_csv, export_json
 from salesmarts.sinks.tables import ensure_schema, replace_table
 from salesmarts.sources.database import TableSplit, read_database_table
@@ -102,25 +102,24 @@ def build_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
     stored = store("sales_fact", lines, cfg.fact_partition_by)
 
     # Three marts need the order sums and two the product sums: write each once.
-    sums = {}
-    for grain, df in (
-        ("orders", fact.order_sales_of(stored)), ("products", fact.product_sales_of(stored))
-    ):
-        path = scratch_path(spark, f"{grain}-sums")
-        df.write.parquet(path)
-        sums[grain] = spark.read.parquet(path)
-
-    store("sales_monthly", sales.sales_monthly(sums["orders"]))
-    store("sales_by_category", sales.sales_by_category(sums["products"]))
-    store("sales_by_region", sales.sales_by_region(sums["orders"]))
-    store("top_products", sales.top_products(sums["products"], cfg.top_n))
-    rfm = churn.customer_rfm(sums["orders"], silver("customers"))
-    customers = store(
-        "customer_churn",
-        churn.customer_churn(
-            rfm, silver("customer_activity"), cfg.ref_date, cfg.churn_days, cfg.active_days
-        ),
-    )
+    with scratch(spark, "order-sums") as by_order, scratch(spark, "product-sums") as by_product:
+        fact.order_sales_of(stored).write.parquet(by_order)
+        fact.product_sales_of(stored).write.parquet(by_product)
+        orders, products = spark.read.parquet(by_order), spark.read.parquet(by_product)
+        store("sales_monthly", sales.sales_monthly(orders))
+        store("sales_by_category", sales.sales_by_category(products))
+        store("sales_by_region", sales.sales_by_region(orders))
+        store("top_products", sales.top_products(products, cfg.top_n))
+        customers = store(
+            "customer_churn",
+            churn.customer_churn(
+                churn.customer_rfm(orders, silver("customers")),
+                silver("customer_activity"),
+                cfg.ref_date,
+                cfg.churn_days,
+                cfg.active_days,
+            ),
+        )
     store("churn_summary", churn.churn_summary(customers))
     return counts
 

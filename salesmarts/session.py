@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -24,24 +26,40 @@ SETTINGS = {
 }
 
 
-def shuffle_partitions(input_bytes: int, target_bytes: int = 128 << 20, floor: int = 8) -> int:
-    """Shuffle partitions that keep one partition near ``target_bytes``."""
-    return max(floor, math.ceil(input_bytes / target_bytes))
+# The driver tracks one block per map task and reducer, so neither may grow with the input
+# without end: beyond these counts the tasks get larger instead, and sort and spill.
+MAX_SCAN_TASKS = 200_000
+MAX_REDUCERS = 50_000
+
+
+def sized(input_bytes: int, cores: int = 8) -> dict[str, str]:
+    """Scan split and shuffle partitions for an input of ``input_bytes``.
+
+    Tasks of 128 MB of input and reducers of about 256 MB while the counts allow it. Columns
+    are pruned before any shuffle, so reducers see well under their share of the input.
+    """
+    split = min(max(128 << 20, math.ceil(input_bytes / MAX_SCAN_TASKS)), 1 << 30)
+    reducers = min(max(cores, math.ceil(input_bytes / (256 << 20))), MAX_REDUCERS)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(reducers),
+    }
 
 
 def configure(builder: SparkSession.Builder, input_bytes: int | None = None) -> SparkSession.Builder:
-    for key, value in SETTINGS.items():
-        builder = builder.config(key, value)
+    settings = dict(SETTINGS)
     if input_bytes is not None:
-        builder = builder.config("spark.sql.shuffle.partitions", shuffle_partitions(input_bytes))
+        settings |= sized(input_bytes)
+    for key, value in settings.items():
+        builder = builder.config(key, value)
     return builder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for a written intermediate, in the folder the cluster shares.
 
-    Only a local session, whose executors live in the driver's machine, may fall back
-    to the machine's own temporary folder.
+    Only a local session, whose executors live in the driver's machine, may fall back to
+    the machine's own temporary folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
@@ -49,3 +67,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="salesmarts-")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """A scratch path whose contents are deleted when the block ends."""
+    path = scratch_path(spark, label)
+    try:
+        yield path
+    finally:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        place.getFileSystem(conf).delete(place, True)
