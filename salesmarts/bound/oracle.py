@@ -80,7 +80,7 @@ _STEPS = {
     "priced": """
         SELECT l_orderkey AS order_id, l_partkey AS product_id,
                cast((2 * cast(cast(l_extendedprice AS decimal(14,2)) * 100 AS bigint)
-                     + cast(l_quantity AS bigint)) // (2 * cast(l_quantity AS bigint))
+                     + cast(l_quantity AS bigint)) // nullif(2 * cast(l_quantity AS bigint), 0)
                     AS decimal(12,0)) * cast(0.01 AS decimal(3,2)) AS unit_price,
                cast(l_quantity AS integer) AS quantity,
                cast(l_discount AS decimal(4,2)) AS discount

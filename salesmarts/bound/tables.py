@@ -69,31 +69,20 @@ class BoundTables:
 
     # Raw tables
 
-    def _customer_country(self) -> DataFrame:
-        customer, nation = self.read("customer"), self.read("nation")
-        return customer.join(
-            nation.select("n_nationkey", "n_name"),
-            F.col("c_nationkey") == F.col("n_nationkey"),
-            "left",
-        )
+    def _with_nation(self, table: str, key: str) -> DataFrame:
+        nation = self.read("nation").select("n_nationkey", "n_name")
+        return self.read(table).join(nation, F.col(key) == F.col("n_nationkey"), "left")
 
     def customers(self) -> DataFrame:
-        return self._customer_country().select(
+        return self._with_nation("customer", "c_nationkey").select(
             F.col("c_custkey").cast("string").alias("CustomerID"),
             F.col("c_name").alias("CompanyName"),
             F.col("c_mktsegment").alias("ContactName"),
             F.col("n_name").alias("Country"),
         )
 
-    def _suppliers(self) -> DataFrame:
-        return self.read("supplier").join(
-            self.read("nation").select("n_nationkey", "n_name"),
-            F.col("s_nationkey") == F.col("n_nationkey"),
-            "left",
-        )
-
     def employees(self) -> DataFrame:
-        return self._suppliers().select(
+        return self._with_nation("supplier", "s_nationkey").select(
             F.col("s_suppkey").alias("EmployeeID"),
             F.split_part("s_name", F.lit("#"), F.lit(1)).alias("FirstName"),
             F.split_part("s_name", F.lit("#"), F.lit(2)).alias("LastName"),
@@ -101,7 +90,7 @@ class BoundTables:
         )
 
     def suppliers(self) -> DataFrame:
-        return self._suppliers().select(
+        return self._with_nation("supplier", "s_nationkey").select(
             F.col("s_suppkey").alias("SupplierID"),
             F.col("s_name").alias("CompanyName"),
             F.col("n_name").alias("Country"),
@@ -116,8 +105,11 @@ class BoundTables:
             "OrderDate": F.col("o_orderdate").cast("date"),
         }
         if columns is None or "ship_country" in columns:
-            country = self._customer_country().select("c_custkey", "n_name")
-            orders = orders.join(country, orders["o_custkey"] == country["c_custkey"], "left")
+            customer = self.read("customer").select("c_custkey", "c_nationkey")
+            nation = self.read("nation").select("n_nationkey", "n_name")
+            orders = orders.join(
+                customer, F.col("o_custkey") == F.col("c_custkey"), "left"
+            ).join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
             out["ShipCountry"] = F.col("n_name")
         if columns is None:
             shipment = (
@@ -125,7 +117,7 @@ class BoundTables:
                 .groupBy("l_orderkey")
                 .agg(F.min("l_suppkey").alias("employee"), F.max("l_shipdate").alias("shipped"))
             )
-            orders = orders.join(shipment, orders["o_orderkey"] == shipment["l_orderkey"], "left")
+            orders = orders.join(shipment, F.col("o_orderkey") == F.col("l_orderkey"), "left")
             out["EmployeeID"] = F.col("employee")
             out["ShippedDate"] = F.col("shipped").cast("date")
             out["ShipVia"] = F.substring("o_orderpriority", 1, 1)
@@ -134,7 +126,9 @@ class BoundTables:
     def order_details(self) -> DataFrame:
         quantity = F.col("l_quantity").cast("bigint")
         unit_cents = F.call_function(
-            "div", to_cents(F.col("l_extendedprice")) * 2 + quantity, quantity * 2
+            "div",
+            to_cents(F.col("l_extendedprice")) * 2 + quantity,
+            F.nullif(quantity * 2, F.lit(0)),
         )
         return self.read("lineitem").select(
             F.col("l_orderkey").alias("OrderID"),
@@ -156,7 +150,7 @@ class BoundTables:
             source = (
                 self.read("lineitem").groupBy("l_partkey").agg(F.min("l_suppkey").alias("source"))
             )
-            part = part.join(source, part["p_partkey"] == source["l_partkey"], "left")
+            part = part.join(source, F.col("p_partkey") == F.col("l_partkey"), "left")
             out["SupplierID"] = F.col("source")
         return part.select(*[c.alias(name) for name, c in out.items()])
 
