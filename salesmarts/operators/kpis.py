@@ -36,10 +36,13 @@ def kpi_churn(churn: DataFrame) -> DataFrame:
 def sales_mom(monthly: DataFrame) -> DataFrame:
     """Change against the month before in percent; null for the first and after a zero.
 
-    The window has no partition, so one task sees every month: at most twelve rows a year,
-    however many lines were sold.
+    Sales of unknown month sort first but are no month before. The window has no partition,
+    so one task sees every month: at most twelve rows a year, however many lines were sold.
     """
-    before = F.lag("total_revenue").over(Window.orderBy("year_month"))
+    months = Window.orderBy("year_month")
+    before = F.when(
+        F.lag("year_month").over(months).isNotNull(), F.lag("total_revenue").over(months)
+    )
     return monthly.select("year_month", "total_revenue", before.alias("prev_revenue")).withColumn(
         "mom_change_pct", percent(F.col("total_revenue") - F.col("prev_revenue"), F.col("prev_revenue"))
     )

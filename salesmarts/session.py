@@ -61,7 +61,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     Only a local session, whose executors live in the driver's machine, may fall back to
     the machine's own temporary folder.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")

@@ -171,6 +171,16 @@ def test_change_after_a_month_of_zero_is_null(spark):
     assert [r.mom_change_pct for r in kpis.sales_mom(df).collect()] == [None, None]
 
 
+def test_sales_of_unknown_month_are_no_month_before(spark):
+    df = spark.createDataFrame(
+        [(None, D("9.00")), ("2024-01", D("4.00")), ("2024-02", D("5.00"))],
+        "year_month string, total_revenue decimal(18,2)",
+    )
+    got = {r.year_month: r.mom_change_pct for r in kpis.sales_mom(df).collect()}
+    assert got == {None: None, "2024-01": None, "2024-02": D("25.0")}
+    assert kpis.latest_month(df).first().year_month == "2024-02"
+
+
 def test_shares_and_labels(monthly):
     share = {r.year_month: r.share_of_max_pct for r in kpis.share_of_max(monthly, "total_revenue").collect()}
     assert share["2024-12"] == D("100.0") and share["2024-11"] == D("53.6")

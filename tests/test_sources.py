@@ -5,6 +5,7 @@ import gzip
 import pytest
 from conftest import rows
 
+from salesmarts.sinks.tables import publish_view
 from salesmarts.sources.database import TableSplit, read_database_table
 from salesmarts.sources.files import (
     json_fields,
@@ -125,6 +126,14 @@ def test_paths_into_raw_json(spark, tmp_path):
     ]
 
 
+def test_view_over_raw_json(spark, tmp_path):
+    raw = with_lineage(read_raw_json(spark, _put(tmp_path, "p.json", PRODUCTS)), "object_store")
+    fields = {"product_id": ("$.ProductID", "bigint"), "unit_price": ("$.UnitPrice", "double")}
+    publish_view(json_fields(raw, "raw_json", fields, keep=["_source_system"]), "raw_products")
+    got = spark.sql("SELECT _source_system, sum(unit_price) FROM raw_products GROUP BY 1")
+    assert rows(got) == [("object_store", 37.0)]
+
+
 def test_lineage(spark):
     row = with_lineage(spark.range(1), "object_store").first()
     assert row._source_system == "object_store" and row._ingest_ts is not None
