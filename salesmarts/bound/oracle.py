@@ -91,7 +91,7 @@ _STEPS = {
         FROM priced""",
     "purchases": """
         SELECT cast(user_id AS varchar) AS customer_id,
-               cast(count(*) AS integer) AS total_orders_export,
+               count(*) AS total_orders_export,
                min(cast(ts AS date)) AS first_order_date, max(cast(ts AS date)) AS last_order_date
         FROM events WHERE event_type = 'purchase' GROUP BY user_id""",
     "s_activity": """

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from salesmarts.functions.dates import as_date
 from salesmarts.functions.numeric import from_cents, half_up_ratio, percent
 
+# The columns of the stored churn mart.
 CHURN_COLUMNS = (
     "customer_id", "company_name", "country", "region",
     "frequency_orders", "monetary_total", "last_order_date", "first_order_date",

@@ -3,7 +3,7 @@
 Each table is described by its columns in order of precedence: the order also decides which
 of two rows with the same key is kept (see ``keep_one``). ``columns`` narrows a table to the
 first few of them, which keeps the same winners and spares what the others cost to produce.
-Ids are bigint: int overflows on the row counts this is meant for.
+Ids and counts are bigint: int overflows on the row counts this is meant for.
 """
 
 from __future__ import annotations
@@ -78,7 +78,7 @@ ORDER_DETAILS: dict[str, Rule] = {
 }
 ACTIVITY: dict[str, Rule] = {
     "customer_id": ("CustomerID", conform_key),
-    "total_orders_export": ("TotalOrders", _int),
+    "total_orders_export": ("TotalOrders", _bigint),
     "first_order_date": ("FirstOrderDate", iso_date),
     "last_order_date": ("LastOrderDate", iso_date),
     "days_since_last_order": ("DaysSinceLastOrder", _int),
@@ -97,6 +97,7 @@ SUPPLIERS: dict[str, Rule] = {
     "supplier_country": ("Country", clean_text),
 }
 
+# The column order of the conformed tables.
 SILVER_ORDERS = (
     "order_id", "customer_id", "employee_id", "order_date", "shipped_date", "shipper_id",
     "ship_country", "region",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from salesmarts.operators.joins import attach
 
+# The columns of the stored fact.
 FACT_COLUMNS = (
     "order_id", "order_date", "shipped_date", "region",
     "customer_id", "company_name", "country",

@@ -30,9 +30,9 @@ def read_database(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFra
     return {
         name: read_database_table(
             spark, cfg.database_url, name, cfg.database_splits.get(name, TableSplit()),
-            cfg.database_properties,
+            cfg.database_properties, schema,
         )
-        for name in DATABASE_TABLES
+        for name, schema in DATABASE_TABLES.items()
     }
 
 

@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # An overflowing sum of cents must raise an error, not wrap around.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     # Recording the Python line of every column expression more than doubles the calls to
     # the JVM while a plan is built.

@@ -34,14 +34,21 @@ def read_database_table(
     table: str,
     split: TableSplit = TableSplit(),
     properties: dict[str, str] | None = None,
+    schema: str | None = None,
 ) -> DataFrame:
-    """A whole table. Column pruning and filters reach the database."""
+    """A whole table. Column pruning and filters reach the database.
+
+    ``schema`` declares the types of the columns where the driver's own guess is not wanted.
+    """
     properties = {"fetchsize": "10000", **(properties or {})}
+    if schema:
+        properties["customSchema"] = schema
     if split.predicates:
         return spark.read.jdbc(url, table, predicates=list(split.predicates), properties=properties)
     options = {"url": url, "dbtable": table, **properties}
     if split.column and split.partitions > 1:
-        low, high = split.bounds or _bounds(spark, url, table, split.column, properties)
+        login = {k: v for k, v in properties.items() if k != "customSchema"}
+        low, high = split.bounds or _bounds(spark, url, table, split.column, login)
         options |= {
             "partitionColumn": split.column,
             "lowerBound": str(low),

@@ -1,33 +1,34 @@
 """Declared schemas of the raw tables.
 
 Fixed values: the source systems' own column names and types. Dates stay text until silver.
+Ids and order counts are bigint, as they grow with the data.
 """
 
 DATABASE_TABLES = {
     "customers": "CustomerID STRING, CompanyName STRING, ContactName STRING, Country STRING",
-    "employees": "EmployeeID INT, FirstName STRING, LastName STRING, Title STRING",
-    "shippers": "ShipperID INT, CompanyName STRING",
+    "employees": "EmployeeID BIGINT, FirstName STRING, LastName STRING, Title STRING",
+    "shippers": "ShipperID BIGINT, CompanyName STRING",
     "orders": (
-        "OrderID INT, CustomerID STRING, EmployeeID INT, OrderDate STRING, ShippedDate STRING, "
-        "ShipVia INT, ShipCountry STRING"
+        "OrderID BIGINT, CustomerID STRING, EmployeeID BIGINT, OrderDate STRING, ShippedDate STRING, "
+        "ShipVia BIGINT, ShipCountry STRING"
     ),
-    "orderdetails": "OrderID INT, ProductID INT, UnitPrice DOUBLE, Quantity INT, Discount DOUBLE",
+    "orderdetails": "OrderID BIGINT, ProductID BIGINT, UnitPrice DOUBLE, Quantity INT, Discount DOUBLE",
 }
 
 CSV_FILES = {
-    "categories": "CategoryID INT, CategoryName STRING, Description STRING",
+    "categories": "CategoryID BIGINT, CategoryName STRING, Description STRING",
     "suppliers": (
-        "SupplierID INT, CompanyName STRING, ContactName STRING, City STRING, Country STRING"
+        "SupplierID BIGINT, CompanyName STRING, ContactName STRING, City STRING, Country STRING"
     ),
     "customer_activity_export": (
-        "CustomerID STRING, TotalOrders INT, FirstOrderDate STRING, LastOrderDate STRING, "
+        "CustomerID STRING, TotalOrders BIGINT, FirstOrderDate STRING, LastOrderDate STRING, "
         "DaysSinceLastOrder INT"
     ),
 }
 
 JSON_RECORDS = {
     "products": (
-        "ProductID INT, ProductName STRING, CategoryID INT, SupplierID INT, UnitPrice DOUBLE"
+        "ProductID BIGINT, ProductName STRING, CategoryID BIGINT, SupplierID BIGINT, UnitPrice DOUBLE"
     ),
 }
 

@@ -176,7 +176,10 @@ def test_database_table_is_read_in_ranges():
         "partitionColumn": "OrderID", "lowerBound": "10248", "upperBound": "10406",
         "numPartitions": "8",
     }
-    read_database_table(reader, "jdbc:x", "Orders", TableSplit("OrderID", 4, bounds=(1, 9)))
+    read_database_table(
+        reader, "jdbc:x", "Orders", TableSplit("OrderID", 4, bounds=(1, 9)), schema="OrderID BIGINT"
+    )
+    assert reader.asked["customSchema"] == "OrderID BIGINT"
     assert (reader.asked["lowerBound"], reader.asked["upperBound"]) == ("1", "10")
 
 
