@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesmarts.bound.queries import all_queries
+from salesmarts.operators import fact
 from salesmarts.operators.dedup import keep_one
 from salesmarts.operators.joins import attach
 
@@ -94,6 +95,50 @@ def test_hot_key_is_split(large):
     assert joined.agg(F.count("*"), F.count("name"), F.sum("id")).first()[:] == (300000, 300000, 44999850000)
 
 
+def test_fact_with_a_hot_order_product_and_customer(large):
+    """A third of the lines on one product, another on one order, most orders on one customer."""
+    n = 240000
+    i = F.col("id")
+    lines = large.range(0, n, 1, 8).select(
+        F.when(i % 3 == 1, 5).otherwise(i % 20000).alias("order_id"),
+        F.when(i % 3 == 0, 7).otherwise(i % 4000).alias("product_id"),
+        F.lit("9.99").cast("decimal(12,2)").alias("unit_price"),
+        F.lit(1).alias("quantity"),
+        F.lit("0.00").cast("decimal(4,2)").alias("discount"),
+        (i % 100000).cast("decimal(18,2)").alias("line_revenue"),
+    )
+    orders = keep_one(
+        large.range(40000).select(
+            (i % 20000).alias("order_id"),
+            F.lit("2024-05-06").cast("date").alias("order_date"),
+            F.lit(None).cast("date").alias("shipped_date"),
+            F.when(i % 20000 < 15000, "hot").otherwise(F.concat(F.lit("C"), i % 20000)).alias("customer_id"),
+            (i % 9).alias("employee_id"),
+            F.lit("EMEA").alias("region"),
+        ),
+        ["order_id"],
+    )
+    products = keep_one(
+        large.range(4000).select(
+            i.alias("product_id"), F.sha2(i.cast("string"), 256).alias("product_name"), F.lit("c").alias("category_name")
+        ),
+        ["product_id"],
+    )
+    customers = keep_one(
+        large.createDataFrame([("hot", "Hot", "UK")], "customer_id string, company_name string, country string"),
+        ["customer_id"],
+    )
+    employees = large.range(9).select(i.alias("employee_id"), F.lit("f").alias("first_name"), F.lit("l").alias("last_name"))
+    out = fact.sales_fact(lines, orders, products, customers, employees)
+    assert _final_plan(out).split("Initial Plan")[0].count("skew=true") >= 2
+    hot_orders = 15000
+    want_hot = sum(1 for k in range(n) if (5 if k % 3 == 1 else k % 20000) < hot_orders)
+    got = out.agg(
+        F.count("*"), F.sum("line_revenue").cast("bigint"), F.count("product_name"), F.count("company_name")
+    ).first()
+    assert got[:] == (n, sum(k % 100000 for k in range(n)), n, want_hot)
+
+
 def test_hot_key_sends_one_row_per_map_task(large):
     rows = large.range(0, 80000, 1, 8).select(F.lit(1).alias("k"), "id")
     kept = keep_one(rows, ["k"])
