@@ -144,7 +144,8 @@ def silver_orders(
     orders = keep_one(conform(raw, ORDERS, columns), ["order_id"])
     if region_lookup is not None:
         orders = with_region(orders, region_lookup)
-    return orders.select(*[c for c in SILVER_ORDERS if c in orders.columns])
+    present = set(orders.columns)
+    return orders.select(*[c for c in SILVER_ORDERS if c in present])
 
 
 def silver_products(
@@ -160,7 +161,8 @@ def silver_products(
     if suppliers is not None:
         named = keep_one(conform(suppliers, SUPPLIERS), ["supplier_id"])
         products = attach(products, named, "supplier_id")
-    return products.select(*[c for c in SILVER_PRODUCTS if c in products.columns])
+    present = set(products.columns)
+    return products.select(*[c for c in SILVER_PRODUCTS if c in present])
 
 
 def order_lines(raw: DataFrame) -> DataFrame:
