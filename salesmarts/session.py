@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -57,18 +56,29 @@ def configure(builder: SparkSession.Builder, input_bytes: int | None = None) ->
     return builder
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's handle of a path and the file system that holds it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for a written intermediate, in the folder the cluster shares.
 
-    Only a local session, whose executors live in the driver's machine, may fall back to
-    the machine's own temporary folder.
+    That is ``spark.checkpoint.dir``, or the warehouse where it is unset. Whatever is written
+    there and not deleted before goes when the application ends.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="salesmarts-")
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    shared = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
+    folder = f"{shared.rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
+    place, files = _file_system(spark, folder)
+    if not files.exists(place):
+        files.mkdirs(place)
+        files.deleteOnExit(place)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 @contextmanager
@@ -78,6 +88,5 @@ def scratch(spark: SparkSession, label: str) -> Iterator[str]:
     try:
         yield path
     finally:
-        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        place.getFileSystem(conf).delete(place, True)
+        place, files = _file_system(spark, path)
+        files.delete(place, True)
