@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmarts.llm import common, exact_dedup, token_counts
+from salesmarts.llm import common, exact_dedup, near_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,10 @@ def _path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(common.table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(common.table(spark, sf_dir, "documents"))
 
@@ -38,6 +42,7 @@ FROM normal
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op4_near_dedup": op4_near_dedup,
         "op6_exact_dedup": op6_exact_dedup,
         "op9_token_counts": op9_token_counts,
     }
