@@ -124,21 +124,32 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.pmod(F.crc32(text.cast("binary")), F.lit(parts)) == part
 
 
-def labelled_sample(docs: DataFrame, label: Column, rows_per_label: int) -> list[tuple[bytes, object]]:
-    """About ``rows_per_label`` texts of each label, with it, chosen by a hash of the id.
+def sampled(rows: DataFrame, label: str, rows_per_label: int) -> DataFrame:
+    """About ``rows_per_label`` rows of each value of ``label``, chosen by a hash of doc_id.
 
-    ``docs`` has doc_id and text; rows whose label is null are passed over. The fraction of
-    each label follows from its count, so the sample neither depends on the partitioning nor
-    grows with the input. Equal rows are taken once.
+    The fraction of each label follows from its count, so the sample neither depends on the
+    partitioning nor grows with the input. Rows without a label are passed over.
     """
-    rows = docs.select("doc_id", "text", label.alias("label")).where(F.col("label").isNotNull())
-    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return []
+    counts = rows.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")).collect()
     at = F.pmod(F.xxhash64("doc_id", F.lit(77)), F.lit(1 << 30)) / float(1 << 30)
     wanted = F.lit(False)
-    for value, n in counts.items():
-        wanted = wanted | ((F.col("label") == F.lit(value)) & (at < min(1.0, rows_per_label / n)))
-    taken = rows.where(wanted).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label").collect()
+    for r in counts:
+        wanted = wanted | ((F.col(label) == F.lit(r[label])) & (at < min(1.0, rows_per_label / r["n"])))
+    return rows.where(wanted)
+
+
+def collected(sample: DataFrame, label: str) -> list[tuple[bytes, object]]:
+    """Text and label of a bounded sample, equal rows once, in an order of their own."""
+    taken = sample.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col(label).alias("label")).collect()
     unique = {(r["doc_id"] is None, r["doc_id"] or 0, r["text"], r["label"]) for r in taken}
     return [(text.encode(), value) for _, _, text, value in sorted(unique)]
+
+
+def marked_sample(
+    docs: DataFrame, labels: DataFrame, mark: str, held: Column, rows_per_label: int
+) -> list[tuple[bytes, int]]:
+    """A bounded sample of ``docs`` whose ``mark`` (0 or 1) in ``labels`` may be learnt from."""
+    marks = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(mark).cast("int").alias("mark"))
+    marks = marks.where("mark IN (0, 1)").where(~held).groupBy("doc_id").agg(F.max("mark").alias("mark"))
+    few = sampled(marks, "mark", rows_per_label)
+    return collected(docs.join(F.broadcast(few), "doc_id"), "mark")
