@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmarts.llm import common, exact_dedup, near_dedup, quality, token_counts
+from salesmarts.llm import common, exact_dedup, language, near_dedup, quality, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(common.table(spark, sf_dir, "documents"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages_of(common.table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")
     return quality.quality_scores(docs, labels)
@@ -49,6 +53,7 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op4_near_dedup": op4_near_dedup,
         "op6_exact_dedup": op6_exact_dedup,
+        "op7_language": op7_language,
         "op8_quality": op8_quality,
         "op9_token_counts": op9_token_counts,
     }
