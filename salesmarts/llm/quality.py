@@ -210,7 +210,7 @@ def quality_scores(
     held = common.held_out(F.col("doc_id"), 3, 1)
     model = fit(common.marked_sample(rows, labels, "quality", held, sample_per_label))
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    key = sent._jbroadcast.id() if sent._jbroadcast is not None else id(sent)
+    key = sent._jbroadcast.id()
 
     def scored(block: pa.RecordBatch) -> list:
         if key not in _POOLERS:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmarts.llm import common, exact_dedup, language, near_dedup, quality, token_counts
+from salesmarts.llm import common, exact_dedup, language, near_dedup, quality, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,11 @@ def _path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")
+    return toxicity.toxicity_scores(docs, labels)
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(common.table(spark, sf_dir, "documents"))
 
@@ -51,6 +56,7 @@ FROM normal
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op3_toxicity": op3_toxicity,
         "op4_near_dedup": op4_near_dedup,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_language": op7_language,
