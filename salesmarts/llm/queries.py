@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmarts.llm import common, exact_dedup, language, near_dedup, quality, token_counts, toxicity
+from salesmarts.llm import common, exact_dedup, language, mixing, near_dedup, quality, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, _path("byte_bpe_50k.json"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(common.table(spark, sf_dir, "documents"))
+
+
 OP6_SQL = r"""
 WITH normal AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
@@ -62,6 +66,7 @@ def llm_queries() -> dict[str, Query]:
         "op7_language": op7_language,
         "op8_quality": op8_quality,
         "op9_token_counts": op9_token_counts,
+        "op10_mixing": op10_mixing,
     }
 
 
