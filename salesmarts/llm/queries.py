@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmarts.llm import common, exact_dedup, language, mixing, near_dedup, quality, token_counts, toxicity
+from salesmarts.llm import common, exact_dedup, language, licenses, mixing, near_dedup, quality, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,10 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(common.table(spark, sf_dir, "documents"))
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(common.table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(common.table(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op3_toxicity": op3_toxicity,
         "op4_near_dedup": op4_near_dedup,
+        "op5_licenses": op5_licenses,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_language": op7_language,
         "op8_quality": op8_quality,
