@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmarts.llm import common, exact_dedup, language, licenses, mixing, near_dedup, quality, token_counts, toxicity
+from salesmarts.llm import common, exact_dedup, fingerprints, language, licenses, mixing, near_dedup, quality, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,10 @@ def _path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.document_fingerprints(common.table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")
     return toxicity.toxicity_scores(docs, labels)
@@ -64,6 +68,7 @@ FROM normal
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_fingerprints": op1_fingerprints,
         "op3_toxicity": op3_toxicity,
         "op4_near_dedup": op4_near_dedup,
         "op5_licenses": op5_licenses,
