@@ -194,6 +194,24 @@ def fit(sample: list[tuple[bytes, int]]) -> Model:
 _POOLERS: dict[int, Pooler] = {}
 
 
+def _scorer(rows: DataFrame, labels: DataFrame, sample_per_label: int):
+    """A function from UTF-8 texts to scores, fitted on a bounded sample, for use in tasks."""
+    held = common.held_out(F.col("doc_id"), 3, 1)
+    model = fit(common.marked_sample(rows, labels, "quality", held, sample_per_label))
+    sent = rows.sparkSession.sparkContext.broadcast(model)
+    key = sent._jbroadcast.id()
+
+    def scores(texts: list[bytes]) -> np.ndarray:
+        if key not in _POOLERS:
+            _POOLERS.clear()
+            _POOLERS[key] = Pooler(sent.value)
+        m = sent.value
+        x = (_POOLERS[key].pooled(texts) - m.center) / m.scale
+        return 1 / (1 + np.exp(-np.clip(_logits(m.layers, x) / m.temperature, -30, 30)))
+
+    return scores
+
+
 def quality_scores(
     docs: DataFrame, labels: DataFrame, threshold: float = 0.5, sample_per_label: int = SAMPLE_PER_LABEL,
     id_col: str = "doc_id", text_col: str = "text",
@@ -203,30 +221,32 @@ def quality_scores(
     ``labels`` has doc_id and quality (0 or 1; null is no label). The model is fitted on a
     bounded sample of labelled rows that are not held out, ``sample_per_label`` per label; all
     rows are scored from their text alone. Null and empty texts get the score of a document
-    without words; a null id is held in if the crc of an empty text says so; without labels
+    without words; a null id counts as an empty text when held_out is found; without labels
     every score is 0.5. Repeated rows get equal scores; other columns are not read.
     """
     rows = common.texts_of(docs, id_col, text_col)
-    held = common.held_out(F.col("doc_id"), 3, 1)
-    model = fit(common.marked_sample(rows, labels, "quality", held, sample_per_label))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    key = sent._jbroadcast.id()
+    scores = _scorer(rows, labels, sample_per_label)
 
     def scored(block: pa.RecordBatch) -> list:
-        if key not in _POOLERS:
-            _POOLERS.clear()
-            _POOLERS[key] = Pooler(sent.value)
-        m, pooler = sent.value, _POOLERS[key]
-        x = (pooler.pooled(common.utf8(block.column(1))) - m.center) / m.scale
-        score = 1 / (1 + np.exp(-np.clip(_logits(m.layers, x) / m.temperature, -30, 30)))
+        score = scores(common.utf8(block.column(1)))
         return [block.column(0), block.column(2), score, (score >= threshold).astype(np.int32)]
 
+    held = common.held_out(F.col("doc_id"), 3, 1)
     return common.per_text(
         rows.withColumn("held_out", held), scored, "doc_id bigint, held_out boolean, score double, predicted int"
     )
 
 
-def of_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """``docs`` without the documents whose score is below ``threshold``, all columns unchanged."""
-    rejected = quality_scores(docs, labels, threshold).where("predicted = 0").select(F.col("doc_id").alias("_rejected")).distinct()
-    return docs.join(rejected, common.column(docs, "doc_id") == F.col("_rejected"), "left_anti")
+def of_quality(
+    docs: DataFrame, labels: DataFrame, threshold: float = 0.5, sample_per_label: int = SAMPLE_PER_LABEL,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """``docs`` without the rows whose score is below ``threshold``, all columns unchanged."""
+    scores = _scorer(common.texts_of(docs, id_col, text_col), labels, sample_per_label)
+    at = docs.columns.index(text_col)
+
+    def kept(batches):
+        for block in common.blocks(batches, text_at=at):
+            yield block.filter(pa.array(scores(common.utf8(block.column(at))) >= threshold))
+
+    return docs.mapInArrow(kept, docs.schema)

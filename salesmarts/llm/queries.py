@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salesmarts.llm import common, exact_dedup, fingerprints, language, licenses, mixing, near_dedup, quality, token_counts, toxicity
+from salesmarts.llm import common, exact_dedup, fingerprints, language, licenses, mixing, near_dedup, pieces, quality, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +22,13 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.document_fingerprints(common.table(spark, sf_dir, "documents"))
 
 
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of each document's pieces, and whether they decode to its text."""
+    docs = common.table(spark, sf_dir, "documents")
+    found = pieces.encoded(docs, _path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_pieces", F.xxhash64("pieces").alias("pieces_hash"), "round_trip")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")
     return toxicity.toxicity_scores(docs, labels)
@@ -69,6 +77,7 @@ FROM normal
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_fingerprints": op1_fingerprints,
+        "op2_pieces": op2_pieces,
         "op3_toxicity": op3_toxicity,
         "op4_near_dedup": op4_near_dedup,
         "op5_licenses": op5_licenses,
