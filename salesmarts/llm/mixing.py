@@ -109,10 +109,9 @@ def _permuted(x: Column, n: Column, *keys) -> Column:
 # Plan and mixture
 
 
-def _table(mix: DataFrame) -> Column:
-    """The per-source figures as one array in order of rank, for slots to look up."""
-    names = [c for c in mix.columns if c != "source"]
-    return mix.agg(F.sort_array(F.collect_list(F.struct("rank", *[c for c in names if c != "rank"])))).scalar()
+def _rank_of(ends: list[int], at: str) -> Column:
+    """The first rank whose end lies beyond ``at``; ``ends`` has one number per source."""
+    return F.size(F.filter(F.lit(ends).cast("array<bigint>"), lambda end: end <= F.col(at)))
 
 
 def plan(sizes: DataFrame, weights: tuple[int, ...], share: float, block: int, shard: int, seed: int):
@@ -133,13 +132,11 @@ def plan(sizes: DataFrame, weights: tuple[int, ...], share: float, block: int, s
     mix = mix.withColumn("until", F.sum("slots").over(up_to))
     mix = common.written(mix.coalesce(1), "sources")
 
-    total = mix.agg(F.coalesce(F.max("until"), F.lit(0))).first()[0]
+    ends = [r["until"] for r in mix.select("rank", "until").orderBy("rank").collect()]
+    total = ends[-1] if ends else 0
     slots = spark.range(total).select(F.col("id").alias("slot"), _div(F.col("id"), F.lit(shard)).alias("shard"))
-    drawn = (_uniform("slot", F.lit(seed)) * F.lit(float(total))).alias("at")
-    bounds = _table(mix.select("source", "rank", "until"))
-    of = F.size(F.filter(F.col("bounds"), lambda s: s["until"].cast("double") <= F.col("at"))).alias("rank")
-    slots = slots.select("*", drawn, bounds.alias("bounds")).select("slot", "shard", of)
-    slots = common.written(slots, "slots")
+    slots = slots.withColumn("at", F.floor(_uniform("slot", F.lit(seed)) * F.lit(float(total))))
+    slots = common.written(slots.select("slot", "shard", _rank_of(ends, "at").alias("rank")), "slots")
 
     # A slot's ordinal in its source: those of earlier shards, then those of its own.
     counts = slots.groupBy("rank", "shard").agg(F.count("*").alias("n"))
@@ -151,45 +148,39 @@ def plan(sizes: DataFrame, weights: tuple[int, ...], share: float, block: int, s
 
     # Surplus slots, numbered across sources, fill the gaps of the sources drawn too seldom.
     got = slots.groupBy("rank").agg(F.count("*").alias("got"))
-    balance = mix.join(F.broadcast(got), "rank", "left").select(
-        "source", "rank", "slots", F.coalesce("got", F.lit(0)).alias("got")
-    )
+    balance = mix.join(got, "rank", "left").select("rank", "slots", F.coalesce("got", F.lit(0)).alias("got"))
     over = F.greatest(F.col("got") - F.col("slots"), F.lit(0))
     short = F.greatest(F.col("slots") - F.col("got"), F.lit(0))
     balance = balance.withColumn("over_before", F.sum(over).over(up_to) - over)
     balance = balance.withColumn("short_until", F.sum(short).over(up_to)).withColumn("short", short)
     balance = common.written(balance.coalesce(1), "balance")
-    found = numbered.withColumn("b", _table(balance))
-    own = F.element_at("b", (F.col("rank") + 1).cast("int"))
-    found = found.withColumn("place", F.when(F.col("ordinal") >= own["slots"], own["over_before"] + F.col("ordinal") - own["slots"]))
-    to = F.size(F.filter("b", lambda s: s["short_until"] <= F.col("place")))
-    found = found.withColumn("to", F.when(F.col("place").isNotNull(), to))
-    gap = F.element_at("b", (F.col("to") + 1).cast("int"))
-    found = found.select(
-        "slot", "shard", F.coalesce("to", F.col("rank")).alias("rank"),
-        F.when(F.col("to").isNull(), F.col("ordinal"))
-        .otherwise(gap["got"] + F.col("place") - (gap["short_until"] - gap["short"])).alias("ordinal"),
+    gaps = [r["short_until"] for r in balance.select("rank", "short_until").orderBy("rank").collect()]
+    surplus = F.when(F.col("ordinal") >= F.col("slots"), F.col("over_before") + F.col("ordinal") - F.col("slots"))
+    found = numbered.join(balance.select("rank", "slots", "over_before"), "rank").withColumn("place", surplus)
+    found = found.withColumn("to", F.when(F.col("place").isNotNull(), _rank_of(gaps, "place")))
+    filled = balance.select(F.col("rank").alias("to"), (F.col("got") - F.col("short_until") + F.col("short")).alias("shift"))
+    found = found.join(filled, "to", "left").select(
+        "slot", "shard", F.coalesce("to", "rank").alias("rank"),
+        F.when(F.col("to").isNull(), F.col("ordinal")).otherwise(F.col("place") + F.col("shift")).alias("ordinal"),
     )
     return mix, found
 
 
 def drawn_blocks(mix: DataFrame, slots: DataFrame, block: int, seed: int) -> DataFrame:
     """Slots with the block of their source they take: shard, slot, rank, block index, words taken."""
-    one = _table(mix.select("source", "rank", "source_size", "words", "epoch"))
-    s = F.col("s")
-    rows = slots.withColumn("m", one).withColumn("s", F.element_at("m", (F.col("rank") + 1).cast("int"))).drop("m")
-    place = F.col("ordinal") % s["epoch"]
-    turn = _div(F.col("ordinal"), s["epoch"])
+    rows = slots.join(mix.select("rank", "source_size", "words", "epoch"), "rank")
+    place = F.col("ordinal") % F.col("epoch")
+    turn = _div(F.col("ordinal"), F.col("epoch"))
     # The shorter last block keeps its place, so words and blocks of a turn end together.
-    whole = s["epoch"] - 1
+    whole = F.col("epoch") - 1
     index = F.when(place == whole, place).otherwise(
         _permuted(place, F.greatest(whole, F.lit(1).cast(_LONG)), F.lit(seed), F.col("rank"), turn)
     )
-    start = turn * s["source_size"] + place * block
-    full = F.least(F.lit(block).cast(_LONG), s["source_size"] - place * block)
+    start = turn * F.col("source_size") + place * block
+    full = F.least(F.lit(block).cast(_LONG), F.col("source_size") - place * block)
     return rows.select(
         "shard", "slot", "rank", index.alias("block"),
-        F.greatest(F.least(full, s["words"] - start), F.lit(0).cast(_LONG)).alias("take"),
+        F.greatest(F.least(full, F.col("words") - start), F.lit(0).cast(_LONG)).alias("take"),
     )
 
 
