@@ -82,7 +82,7 @@ _STEPS = {
                cast((2 * cast(cast(l_extendedprice AS decimal(14,2)) * 100 AS bigint)
                      + cast(l_quantity AS bigint)) // nullif(2 * cast(l_quantity AS bigint), 0)
                     AS decimal(12,0)) * cast(0.01 AS decimal(3,2)) AS unit_price,
-               cast(l_quantity AS integer) AS quantity,
+               cast(l_quantity AS bigint) AS quantity,
                cast(l_discount AS decimal(4,2)) AS discount
         FROM lineitem""",
     "lines": """
@@ -95,7 +95,7 @@ _STEPS = {
                min(cast(ts AS date)) AS first_order_date, max(cast(ts AS date)) AS last_order_date
         FROM events WHERE event_type = 'purchase' GROUP BY user_id""",
     "s_activity": """
-        SELECT *, cast((SELECT max(cast(ts AS date)) + 1 FROM events) - last_order_date AS integer)
+        SELECT *, cast((SELECT max(cast(ts AS date)) + 1 FROM events) - last_order_date AS bigint)
                   AS days_since_last_order
         FROM purchases""",
     "fact": """
@@ -134,7 +134,7 @@ _STEPS = {
     "recency": """
         SELECT rfm.*, cast(coalesce(a.days_since_last_order,
                       (SELECT max(cast(o_orderdate AS date)) + 1 FROM orders) - rfm.last_order_date)
-                      AS integer) AS recency_days
+                      AS bigint) AS recency_days
         FROM rfm LEFT JOIN s_activity a ON rfm.customer_id = a.customer_id""",
 }
 
@@ -189,6 +189,14 @@ def _share(step: str, rest: str, value: str = "total_revenue") -> str:
 
 
 _COUNTED = {
+    "bronze_customers": "customer",
+    "bronze_employees": "supplier",
+    "bronze_orders": "orders",
+    "bronze_orderdetails": "lineitem",
+    "bronze_products": "part",
+    "bronze_categories": "categories",
+    "bronze_suppliers": "supplier",
+    "bronze_customer_activity_export": "purchases",
     "silver_customers": "s_customers",
     "silver_employees": "s_employees",
     "silver_orders": "s_orders",
@@ -221,6 +229,23 @@ _MOM = f"""
            {_ratio('(total_revenue - prev) * 100', 'prev', 1)} AS mom_change_pct
     FROM (SELECT *, lag(total_revenue) OVER (ORDER BY year_month) AS prev FROM monthly)"""
 
+# Marts of the feed: step, key, columns; fractions are compared in hundredths.
+_FEED = {
+    "sales_monthly": ("monthly", "year_month", "year_month total_revenue order_count active_customers"),
+    "sales_by_category": ("by_category", "category_name", "category_name total_revenue units_sold"),
+    "sales_by_region": ("by_region", "region", "region total_revenue order_count"),
+    "top_products": (
+        "top", "product_id", "product_id product_name category_name total_revenue units_sold",
+    ),
+    "customer_churn": (
+        "churn", "customer_id",
+        "customer_id company_name country region frequency_orders monetary_total last_order_date "
+        "first_order_date recency_days avg_order_value is_churned customer_segment",
+    ),
+    "churn_summary": ("summary", "region", "region total_customers churned_customers churn_rate_pct"),
+}
+_FRACTIONS = ("total_revenue", "monetary_total", "avg_order_value", "churn_rate_pct")
+
 _FINAL = {
     "scan_csv": _ACTIVITY_EXPORT,
     "null_tokens": """
@@ -230,8 +255,9 @@ _FINAL = {
         FROM customer""",
     "scan_json": """
         SELECT p_partkey AS "ProductID", p_name AS "ProductName",
-               split_part(p_brand, '#', 2) AS "CategoryID", p_retailprice AS "UnitPrice"
-        FROM part""",
+               split_part(p_brand, '#', 2) AS "CategoryID", s.supplier_id AS "SupplierID",
+               p_retailprice AS "UnitPrice"
+        FROM part LEFT JOIN source s ON p_partkey = s.l_partkey""",
     "json_object_rows": """
         SELECT event_id, unnest(json_keys(props)) AS key,
                json_extract_string(props, '$.' || unnest(json_keys(props))) AS value
@@ -240,8 +266,13 @@ _FINAL = {
         SELECT event_id, user_id, cast(json_extract(props, '$.k') AS bigint) AS k FROM events""",
     "ingest_lineage": """
         SELECT o_orderkey AS "OrderID", cast(o_custkey AS varchar) AS "CustomerID",
-               cast(o_orderdate AS date) AS "OrderDate", 'db_source' AS "_source_system"
-        FROM orders""",
+               s.employee_id AS "EmployeeID", cast(o_orderdate AS date) AS "OrderDate",
+               cast(s.shipped AS date) AS "ShippedDate", substring(o_orderpriority, 1, 1) AS "ShipVia",
+               n_name AS "ShipCountry", 'db_source' AS "_source_system"
+        FROM orders
+        LEFT JOIN customer ON o_custkey = c_custkey
+        LEFT JOIN nation ON c_nationkey = n_nationkey
+        LEFT JOIN shipment s ON o_orderkey = s.l_orderkey""",
     "silver_customers": "SELECT * FROM s_customers",
     "silver_employees": "SELECT * FROM s_employees",
     "silver_orders": "SELECT * FROM s_orders",
@@ -259,9 +290,10 @@ _FINAL = {
         "l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
         "l_returnflag, l_linestatus",
     ),
-    "distinct_rows": "SELECT DISTINCT l_orderkey, l_suppkey, l_returnflag FROM lineitem",
+    "distinct_rows": """
+        SELECT DISTINCT * REPLACE (cast(l_shipdate AS date) AS l_shipdate) FROM lineitem""",
     "sales_fact": _FACT,
-    "sales_fact_inner": _FACT + " WHERE order_id IN (SELECT order_id FROM s_orders)",
+    "sales_fact_inner": _FACT + " WHERE order_id IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')",
     "sales_monthly": _money("monthly", "year_month, order_count, active_customers"),
     "sales_by_category": _money("by_category", "category_name, units_sold"),
     "sales_by_region": _money("by_region", "region, order_count"),
@@ -312,16 +344,13 @@ _FINAL = {
                customer_segment
         FROM churn WHERE customer_segment = 'At Risk'""",
     "export_csv": "SELECT * FROM churn",
-    "export_json": """
-        SELECT 'sales_monthly' AS mart, year_month AS row_key, cast(total_revenue AS double) AS figure
-        FROM monthly
-        UNION ALL SELECT 'sales_by_category', category_name, cast(total_revenue AS double)
-        FROM by_category
-        UNION ALL SELECT 'sales_by_region', region, cast(total_revenue AS double) FROM by_region
-        UNION ALL SELECT 'top_products', cast(product_id AS varchar), cast(total_revenue AS double)
-        FROM top
-        UNION ALL SELECT 'customer_churn', customer_id, monetary_total FROM churn
-        UNION ALL SELECT 'churn_summary', region, churn_rate_pct FROM summary""",
+    "export_json": " UNION ALL ".join(
+        f"SELECT '{mart}' AS mart, cast({key} AS varchar) AS row_key, '{column}' AS field, "
+        f"cast({'cast(round(' + column + ' * 100) AS hugeint)' if column in _FRACTIONS else column} AS varchar)"
+        f" AS value FROM {step}"
+        for mart, (step, key, columns) in _FEED.items()
+        for column in columns.split()
+    ),
     "layer_row_counts": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {step}"
         for name, step in _COUNTED.items()

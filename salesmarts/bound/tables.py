@@ -134,7 +134,7 @@ class BoundTables:
             F.col("l_orderkey").alias("OrderID"),
             F.col("l_partkey").alias("ProductID"),
             (unit_cents / 100).alias("UnitPrice"),
-            quantity.cast("int").alias("Quantity"),
+            quantity.alias("Quantity"),
             F.col("l_discount").alias("Discount"),
         )
 

@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PRICE = "decimal(12,2)"
-DISCOUNT = "decimal(4,2)"
-AMOUNT = "decimal(18,2)"
+PRICE = "decimal(18,2)"
+DISCOUNT = "decimal(18,2)"
+AMOUNT = "decimal(38,2)"
+CENTS = "decimal(38,0)"
 
 
 def to_cents(c: Column, kind: str = PRICE) -> Column:
@@ -32,15 +33,36 @@ def to_cents(c: Column, kind: str = PRICE) -> Column:
     return F.when(plain, nearest.cast("bigint")).otherwise((c.try_cast(kind) * 100).cast("bigint"))
 
 
-def from_cents(c: Column, kind: str | None = None) -> Column:
-    amount = c.cast("decimal(20,0)") * F.lit(Decimal("0.01"))
-    return amount.cast(kind) if kind else amount
+def from_cents(c: Column, kind: str = AMOUNT) -> Column:
+    return (c.cast("decimal(36,0)") * F.lit(Decimal("0.01"))).cast(kind)
 
 
-def line_revenue_cents(price_cents: Column, quantity: Column, discount_cents: Column) -> Column:
-    """unit_price x quantity x (1 - discount) in cents, rounded half away from zero."""
-    exact = price_cents * quantity * (F.lit(100) - discount_cents)
-    return F.call_function("div", F.when(exact < 0, exact - 50).otherwise(exact + 50), F.lit(100))
+def line_revenue_cents(price_cents: Column, quantity: Column, discount_cents: Column) -> tuple[Column, Column]:
+    """unit_price x quantity x (1 - discount) in cents, rounded half away from zero.
+
+    Two columns, one of them null: a bigint for ordinary lines, below 10^9 cents, and an exact
+    decimal for all others. Both parts are summed apart (``total_cents``), so neither a large
+    line nor many ordinary ones overflow, and ordinary ones are summed as integers. Beyond 38
+    digits a line is null.
+    """
+    factor = F.lit(100) - discount_cents
+    plain = (F.abs(price_cents) < 10**8) & (F.abs(quantity) < 10**5) & (F.abs(factor) <= 10**3)
+    product = F.when(plain, price_cents) * F.when(plain, quantity) * F.when(plain, factor)
+    cents = F.call_function("div", F.when(product < 0, product - 50).otherwise(product + 50), F.lit(100))
+    ordinary = F.when(F.abs(cents) < 10**9, cents)
+    exact = F.try_multiply(price_cents.cast("decimal(19,0)"), quantity.cast("decimal(19,0)"))
+    whole = F.try_multiply(exact.try_cast("decimal(38,0)"), factor.try_cast("decimal(20,0)")).try_cast("decimal(38,0)")
+    large = F.round(whole * F.lit(Decimal("0.01")), 0).try_cast(CENTS)
+    return ordinary, F.when(ordinary.isNull(), large)
+
+
+def total_cents(ordinary: Column, large: Column) -> Column:
+    """The sum of both parts of ``line_revenue_cents``; null if every line is."""
+    parts = F.sum(ordinary).cast(CENTS), F.sum(large).cast(CENTS)
+    none = F.lit(0).cast(CENTS)
+    return F.when(
+        parts[0].isNotNull() | parts[1].isNotNull(), F.coalesce(parts[0], none) + F.coalesce(parts[1], none)
+    ).cast(CENTS)
 
 
 def half_up_ratio(part: Column, whole: Column, digits: int) -> Column:

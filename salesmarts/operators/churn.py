@@ -80,7 +80,7 @@ def customer_churn(
 
 
 def churn_summary(churn: DataFrame) -> DataFrame:
-    """Customers, churned customers and churn rate per region, highest rate first."""
+    """Customers, churned customers and churn rate per region."""
     return (
         churn.groupBy("region")
         .agg(
@@ -88,7 +88,6 @@ def churn_summary(churn: DataFrame) -> DataFrame:
             F.count_if("is_churned").alias("churned_customers"),
         )
         .withColumn("churn_rate_pct", percent(F.col("churned_customers"), F.col("total_customers")))
-        .orderBy(F.desc("churn_rate_pct"), "region")
     )
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from salesmarts.functions.dates import iso_date
 from salesmarts.functions.numeric import (
-    AMOUNT,
+    CENTS,
     DISCOUNT,
     PRICE,
     from_cents,
@@ -33,10 +33,6 @@ def _bigint(c: Column) -> Column:
     return c.try_cast("bigint")
 
 
-def _int(c: Column) -> Column:
-    return c.try_cast("int")
-
-
 def _price(c: Column) -> Column:
     return from_cents(to_cents(c), PRICE)
 
@@ -73,7 +69,7 @@ ORDER_DETAILS: dict[str, Rule] = {
     "order_id": ("OrderID", _bigint),
     "product_id": ("ProductID", _bigint),
     "price_cents": ("UnitPrice", to_cents),
-    "quantity": ("Quantity", _int),
+    "quantity": ("Quantity", _bigint),
     "discount_cents": ("Discount", lambda c: to_cents(c, DISCOUNT)),
 }
 ACTIVITY: dict[str, Rule] = {
@@ -81,7 +77,7 @@ ACTIVITY: dict[str, Rule] = {
     "total_orders_export": ("TotalOrders", _bigint),
     "first_order_date": ("FirstOrderDate", iso_date),
     "last_order_date": ("LastOrderDate", iso_date),
-    "days_since_last_order": ("DaysSinceLastOrder", _int),
+    "days_since_last_order": ("DaysSinceLastOrder", _bigint),
 }
 REGIONS: dict[str, Rule] = {
     "country_key": ("Country", conform_key),
@@ -118,8 +114,17 @@ def conform(raw: DataFrame, rules: dict[str, Rule], columns: Sequence[str] | Non
     return raw.select(*[rules[n][1](F.col(rules[n][0])).alias(n) for n in names])
 
 
-def rename_columns(df: DataFrame, names: dict[str, str]) -> DataFrame:
-    return df.withColumnsRenamed(names)
+def rejected(raw: DataFrame, rules: dict[str, Rule]) -> list[Column]:
+    """Per column of ``rules`` the number of raw values that are not blank but become null.
+
+    Aggregates to observe while a table is written: values lost in conversion are then counted
+    without running the plan again.
+    """
+    counts = []
+    for name, (source, rule) in rules.items():
+        given = F.trim(F.col(source).cast("string")) != ""
+        counts.append(F.count_if(given & rule(F.col(source)).isNull()).alias(name))
+    return counts
 
 
 def silver_customers(raw: DataFrame) -> DataFrame:
@@ -166,24 +171,24 @@ def silver_products(
 
 
 def order_lines(raw: DataFrame) -> DataFrame:
-    """Order details with the line's revenue also in cents, for summing."""
-    lines = conform(raw, ORDER_DETAILS).withColumn(
-        "revenue_cents",
-        line_revenue_cents(F.col("price_cents"), F.col("quantity"), F.col("discount_cents")),
-    )
+    """Order details with the line's revenue also in the two parts that are summed."""
+    ordinary, large = line_revenue_cents(F.col("price_cents"), F.col("quantity"), F.col("discount_cents"))
+    lines = conform(raw, ORDER_DETAILS).withColumns({"revenue_cents": ordinary, "large_cents": large})
+    cents = F.coalesce(F.col("revenue_cents").cast(CENTS), "large_cents")
     return lines.select(
         "order_id",
         "product_id",
         from_cents(F.col("price_cents"), PRICE).alias("unit_price"),
         "quantity",
         from_cents(F.col("discount_cents"), DISCOUNT).alias("discount"),
-        from_cents(F.col("revenue_cents"), AMOUNT).alias("line_revenue"),
+        from_cents(cents).alias("line_revenue"),
         "revenue_cents",
+        "large_cents",
     )
 
 
 def silver_order_details(raw: DataFrame) -> DataFrame:
-    return order_lines(raw).drop("revenue_cents")
+    return order_lines(raw).drop("revenue_cents", "large_cents")
 
 
 def silver_customer_activity(raw: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesmarts.functions.numeric import CENTS, total_cents
 from salesmarts.operators.joins import attach
 
 # The columns of the stored fact.
@@ -27,33 +28,37 @@ def sales_fact(
     customers: DataFrame,
     employees: DataFrame,
     how: str = "left",
+    split_hot: bool = True,
 ) -> DataFrame:
     """One row per order line with its order, product, customer and employee.
 
     Customers and employees belong to the order, so they are joined to the orders, which
     are fewer and narrower than the lines. The lines themselves move twice: once to their
     product while they are still narrow, once to their order. ``how="inner"`` drops lines
-    whose order is unknown.
+    whose order is unknown. ``split_hot=False`` is for counting (see ``attach``).
     """
     sold = orders.select(
         "order_id", "order_date", "shipped_date", "region", "customer_id", "employee_id"
     )
-    sold = attach(sold, employees.select("employee_id", "first_name", "last_name"), "employee_id")
-    sold = attach(sold, customers.select("customer_id", "company_name", "country"), "customer_id")
+    sold = attach(sold, employees.select("employee_id", "first_name", "last_name"), "employee_id", split_hot=split_hot)
+    sold = attach(sold, customers.select("customer_id", "company_name", "country"), "customer_id", split_hot=split_hot)
     named = attach(
-        lines, products.select("product_id", "product_name", "category_name"), "product_id"
+        lines, products.select("product_id", "product_name", "category_name"), "product_id",
+        split_hot=split_hot,
     )
-    return attach(named, sold, "order_id", how=how).select(*FACT_COLUMNS)
+    return attach(named, sold, "order_id", how=how, split_hot=split_hot).select(*FACT_COLUMNS)
 
 
 def _sums(lines: DataFrame, *keys: str) -> DataFrame:
-    """Revenue in cents and units per key, from lines with or without ``revenue_cents``."""
-    if "revenue_cents" in lines.columns:
-        revenue = F.col("revenue_cents")
+    """Revenue in cents and units per key, from lines with or without their revenue in parts."""
+    if "large_cents" in lines.columns:
+        ordinary, large = F.col("revenue_cents"), F.col("large_cents")
     else:
-        revenue = (F.col("line_revenue") * 100).cast("bigint")
+        cents = (F.col("line_revenue") * 100).cast(CENTS)
+        plain = F.abs(F.col("line_revenue")) < 10**7
+        ordinary, large = F.when(plain, cents.cast("bigint")), F.when(~plain, cents)
     return lines.groupBy(*keys).agg(
-        F.sum(revenue).alias("revenue_cents"), F.sum("quantity").alias("units")
+        total_cents(ordinary, large).alias("revenue_cents"), F.sum("quantity").alias("units")
     )
 
 
@@ -71,6 +76,11 @@ def order_sales_of(fact: DataFrame) -> DataFrame:
     return _sums(fact, "order_id", "order_date", "customer_id", "region")
 
 
+def product_sums(lines: DataFrame) -> DataFrame:
+    """Revenue and units per product id."""
+    return _sums(lines, "product_id")
+
+
 def product_sales(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue and units per product, summed before the product's columns are joined."""
     return _sums(lines, "product_id").join(

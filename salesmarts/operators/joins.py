@@ -12,6 +12,7 @@ def attach(
     key: str,
     on: Column | None = None,
     how: str = "left",
+    split_hot: bool = True,
 ) -> DataFrame:
     """``df`` joined to ``dimension`` on ``key``, or on ``on`` equal to the dimension's key.
 
@@ -20,8 +21,10 @@ def attach(
     only if the join shuffles both sides itself. A deduplicated dimension is already
     partitioned by its key and would be taken as it lies, so its key is restated as an
     expression; that costs one shuffle of the dimension, and none when it is broadcast.
+    ``split_hot=False`` leaves the key as it is: Catalyst then knows it to be unique and drops
+    the join where none of the dimension's columns is used, as in a count.
     """
-    side = dimension.withColumn(key, F.coalesce(F.col(key), F.col(key)))
+    side = dimension.withColumn(key, F.coalesce(F.col(key), F.col(key))) if split_hot else dimension
     if on is None:
         return df.join(side, key, how)
     return df.join(side, on == side[key], how).drop(side[key])

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmarts.functions.dates import short_month
 from salesmarts.functions.numeric import half_up_ratio, percent
 
+# The columns of the roster.
 ROSTER_COLUMNS = (
     "customer_id", "company_name", "region", "frequency_orders", "monetary_total",
     "recency_days", "customer_segment",
@@ -57,25 +58,25 @@ def month_label(monthly: DataFrame) -> DataFrame:
     return monthly.select("year_month", short_month(F.col("year_month")).alias("month_label"), "total_revenue")
 
 
-def _largest(mart: DataFrame, value: str) -> Column:
-    """The largest ``value`` as a scalar subquery, so that no window gathers the mart.
+def _with_largest(mart: DataFrame, value: str) -> DataFrame:
+    """The mart with its largest ``value`` beside each row, computed once.
 
-    The maximum is taken over whole rows: the subquery then needs the same columns as the
-    mart itself and shares its shuffles instead of computing a narrower mart again.
+    The window has no partition. That is for marts only: they hold a row per month, category,
+    region or product of a top-k list, however many lines were sold.
     """
-    row = F.struct(value, *[c for c in mart.columns if c != value])
-    return mart.select(F.max(row)[value]).scalar()
+    return mart.withColumn("_largest", F.max(value).over(Window.partitionBy()))
 
 
 def share_of_max(mart: DataFrame, value: str) -> DataFrame:
     """``value`` as a percentage of its largest, to one place."""
-    return mart.withColumn("share_of_max_pct", percent(F.col(value), _largest(mart, value)))
+    share = percent(F.col(value), F.col("_largest"))
+    return _with_largest(mart, value).withColumn("share_of_max_pct", share).drop("_largest")
 
 
 def fraction_of_max(mart: DataFrame, value: str) -> DataFrame:
     """``value`` as a plain fraction of its largest."""
-    top = _largest(mart, value).cast("double")
-    return mart.withColumn("fraction_of_max", F.try_divide(F.col(value).cast("double"), top))
+    part = F.try_divide(F.col(value).cast("double"), F.col("_largest").cast("double"))
+    return _with_largest(mart, value).withColumn("fraction_of_max", part).drop("_largest")
 
 
 def ranked(top: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ def _revenue() -> Column:
 
 
 def sales_monthly(orders: DataFrame) -> DataFrame:
-    """Revenue, orders and buying customers per month, oldest first."""
+    """Revenue, orders and buying customers per month."""
     return (
         orders.groupBy(month_start(F.col("order_date")).alias("month"))
         .agg(
@@ -26,31 +26,29 @@ def sales_monthly(orders: DataFrame) -> DataFrame:
             year_month(F.col("month")).alias("year_month"),
             "total_revenue", "order_count", "active_customers",
         )
-        .orderBy("year_month")
     )
 
 
 def sales_by_category(products: DataFrame) -> DataFrame:
-    """Revenue and units per category, best first."""
-    return (
-        products.groupBy("category_name")
-        .agg(_revenue(), F.sum("units").alias("units_sold"))
-        .orderBy(F.desc("total_revenue"), "category_name")
-    )
+    """Revenue and units per category."""
+    return products.groupBy("category_name").agg(_revenue(), F.sum("units").alias("units_sold"))
 
 
 def sales_by_region(orders: DataFrame) -> DataFrame:
-    """Revenue and orders per region, best first; orders of unknown region form one row."""
-    return (
-        orders.groupBy("region")
-        .agg(_revenue(), F.count("order_id").alias("order_count"))
-        .orderBy(F.desc("total_revenue"), "region")
-    )
+    """Revenue and orders per region; orders of unknown region form one row."""
+    return orders.groupBy("region").agg(_revenue(), F.count("order_id").alias("order_count"))
+
 
+def top_products(sums: DataFrame, n: int = 10, products: DataFrame | None = None) -> DataFrame:
+    """The ``n`` products with the most revenue; the lower id wins a tie.
 
-def top_products(products: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` products with the most revenue; the lower id wins a tie."""
-    best = products.orderBy(F.desc("revenue_cents"), "product_id").limit(n)
+    The limit comes before the products' names are joined, so only ``n`` rows meet them.
+    ``sums`` that hold the names already need no ``products``.
+    """
+    best = sums.orderBy(F.desc("revenue_cents"), "product_id").limit(n)
+    if products is not None:
+        names = products.select("product_id", "product_name", "category_name")
+        best = best.join(names, "product_id", "left")
     return best.select(
         "product_id", "product_name", "category_name",
         from_cents(F.col("revenue_cents")).alias("total_revenue"),

@@ -6,10 +6,18 @@ from pyspark.sql import DataFrame
 
 
 def export_csv(df: DataFrame, path: str, files: int | None = None) -> None:
-    """A folder of CSV files with header. ``files`` merges the parts of a small mart."""
+    """A folder of CSV files with header. ``files`` merges the parts of a small mart.
+
+    Spaces around a text, quotes and line breaks are kept; texts with line breaks need
+    ``read_csv(multi_line=True)``. A text ``NULL`` or of blanks only is null when read again,
+    by the dialect that ``read_csv`` follows. Part files follow the order of a sorted ``df``.
+    """
     if files is not None:
         df = df.coalesce(files)
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    for side in ("Leading", "Trailing"):
+        writer = writer.option(f"ignore{side}WhiteSpace", False)
+    writer.csv(path)
 
 
 def export_json(marts: dict[str, DataFrame], path: str) -> None:

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def ensure_schema(spark: SparkSession, schema: str) -> None:
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+def ensure_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
+    """Create a schema that is not there yet, its tables under ``location`` if given."""
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{place}")
 
 
 def use_schema(spark: SparkSession, schema: str) -> None:
@@ -31,7 +33,9 @@ def replace_table(
 ) -> int:
     """Create or replace ``table`` with the rows of ``df``; returns their number.
 
-    The rows are counted while they are written, not by running the plan again.
+    The rows are counted while they are written, not by running the plan again. With Parquet
+    the old table is dropped before the new one is written, so a write that fails leaves none;
+    formats with transactions replace it in one step.
     """
     return _save(df, table, "overwrite", fmt, partition_by)
 

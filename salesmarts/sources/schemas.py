@@ -12,7 +12,7 @@ DATABASE_TABLES = {
         "OrderID BIGINT, CustomerID STRING, EmployeeID BIGINT, OrderDate STRING, ShippedDate STRING, "
         "ShipVia BIGINT, ShipCountry STRING"
     ),
-    "orderdetails": "OrderID BIGINT, ProductID BIGINT, UnitPrice DOUBLE, Quantity INT, Discount DOUBLE",
+    "orderdetails": "OrderID BIGINT, ProductID BIGINT, UnitPrice DOUBLE, Quantity BIGINT, Discount DOUBLE",
 }
 
 CSV_FILES = {
@@ -22,7 +22,7 @@ CSV_FILES = {
     ),
     "customer_activity_export": (
         "CustomerID STRING, TotalOrders BIGINT, FirstOrderDate STRING, LastOrderDate STRING, "
-        "DaysSinceLastOrder INT"
+        "DaysSinceLastOrder BIGINT"
     ),
 }
 
@@ -31,25 +31,3 @@ JSON_RECORDS = {
         "ProductID BIGINT, ProductName STRING, CategoryID BIGINT, SupplierID BIGINT, UnitPrice DOUBLE"
     ),
 }
-
-# Raw to conformed column names of the database tables, for loads into declared tables.
-DATABASE_COLUMNS = {
-    "customers": {
-        "CustomerID": "customer_id", "CompanyName": "company_name",
-        "ContactName": "contact_name", "Country": "country",
-    },
-    "employees": {
-        "EmployeeID": "employee_id", "FirstName": "first_name",
-        "LastName": "last_name", "Title": "title",
-    },
-    "shippers": {"ShipperID": "shipper_id", "CompanyName": "company_name"},
-    "orders": {
-        "OrderID": "order_id", "CustomerID": "customer_id", "EmployeeID": "employee_id",
-        "OrderDate": "order_date", "ShippedDate": "shipped_date", "ShipVia": "ship_via",
-        "ShipCountry": "ship_country",
-    },
-    "orderdetails": {
-        "OrderID": "order_id", "ProductID": "product_id", "UnitPrice": "unit_price",
-        "Quantity": "quantity", "Discount": "discount",
-    },
-}

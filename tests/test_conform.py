@@ -123,4 +123,4 @@ def test_activity_of_a_customer_without_orders(spark):
 def test_employees_and_rename(spark):
     raw = spark.createDataFrame([(1, " Ann ", "Lee", None), (1, "Ann", "Lee", None)], DATABASE_TABLES["employees"])
     assert rows(conform.silver_employees(raw)) == [(1, "Ann", "Lee", None)]
-    assert conform.rename_columns(raw, {"EmployeeID": "employee_id"}).columns[0] == "employee_id"
+    assert conform.silver_employees(raw).columns[0] == "employee_id"

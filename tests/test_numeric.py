@@ -13,6 +13,7 @@ from salesmarts.functions.numeric import (
     percent,
     published,
     to_cents,
+    total_cents,
 )
 
 LAX = settings(
@@ -34,12 +35,30 @@ LAX = settings(
     ],
 )
 def test_line_revenue(spark, price, quantity, discount, cents):
-    df = spark.createDataFrame([(price, quantity, discount)], "p double, q int, d double")
-    got = df.select(line_revenue_cents(to_cents(F.col("p")), F.col("q"), to_cents(F.col("d"))))
-    assert got.first()[0] == cents
+    df = spark.createDataFrame([(price, quantity, discount)], "p double, q bigint, d double")
+    ordinary, large = line_revenue_cents(to_cents(F.col("p")), F.col("q"), to_cents(F.col("d")))
+    got = df.select(ordinary.alias("o"), large.alias("l")).first()
+    assert got.l is None and got.o == cents
 
 
-@pytest.mark.parametrize("bad", ["", "abc", "NaN", "1e12", "99999999999.99"])
+@pytest.mark.parametrize("price, quantity", [("1e10", 3), ("1e13", 7), ("9.99", 3 * 2**31), ("1e13", 2**33), ("-1e13", 2**33)])
+def test_large_lines_are_exact(spark, price, quantity):
+    df = spark.createDataFrame([(price, quantity, "0.15")], "p string, q bigint, d string")
+    ordinary, large = line_revenue_cents(to_cents(F.col("p")), F.col("q"), to_cents(F.col("d")))
+    got = df.select(ordinary.alias("o"), large.alias("l")).first()
+    exact = Decimal(price) * quantity * 85
+    want = int(exact.quantize(Decimal(1), ROUND_HALF_UP))
+    assert got.o is None and got.l == want
+
+
+def test_totals_take_ordinary_and_large_lines(spark):
+    df = spark.createDataFrame([(1, "12.34", 2), (1, "1e13", 2**33), (2, "0.50", 1), (3, "x", 1)], "k int, p string, q bigint")
+    parts = line_revenue_cents(to_cents(F.col("p")), F.col("q"), F.lit(0).cast("bigint"))
+    rows = df.withColumns({"o": parts[0], "l": parts[1]}).groupBy("k").agg(total_cents(F.col("o"), F.col("l")).alias("t")).collect()
+    assert {r.k: r.t for r in rows} == {1: 2468 + 10**15 * 2**33, 2: 50, 3: None}
+
+
+@pytest.mark.parametrize("bad", ["", "abc", "NaN", "1e17", "99999999999999999.99"])
 def test_to_cents_rejects(spark, bad):
     assert spark.createDataFrame([(bad,)], "p string").select(to_cents(F.col("p"))).first()[0] is None
 

@@ -23,7 +23,7 @@ from salesmarts.sinks.tables import (
     use_schema,
 )
 from salesmarts.sources.files import read_csv
-from salesmarts.sources.schemas import DATABASE_COLUMNS, DATABASE_TABLES
+from salesmarts.sources.schemas import DATABASE_TABLES
 
 
 def test_replace_table_counts_what_it_writes(spark):
@@ -45,7 +45,7 @@ def test_load_renames_and_appends_only_when_asked(spark):
     use_schema(spark, "sink_test")
     raw = spark.createDataFrame([(1, "Speedy")], DATABASE_TABLES["shippers"])
     for mode, want in (("overwrite", 1), ("overwrite", 1), ("append", 2)):
-        load_table(raw, "sink_test.shippers", DATABASE_COLUMNS["shippers"], mode)
+        load_table(raw, "sink_test.shippers", {"ShipperID": "shipper_id", "CompanyName": "company_name"}, mode)
         assert spark.table("shippers").count() == want
     assert spark.table("sink_test.shippers").columns == ["shipper_id", "company_name"]
     spark.sql("USE default")
