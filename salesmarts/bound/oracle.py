@@ -351,6 +351,18 @@ _FINAL = {
         for mart, (step, key, columns) in _FEED.items()
         for column in columns.split()
     ),
+    "gzip_scan": """
+        SELECT s_suppkey AS "SupplierID", s_name AS "CompanyName", n_name AS "Country"
+        FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey""",
+    "replaced_table": """
+        SELECT *, (SELECT count(*) FROM s_customers ) AS rows_written FROM s_customers""",
+    "appended_load": """
+        SELECT s_suppkey AS supplier_id, s_name AS supplier_name, n_name AS supplier_country,
+               CASE WHEN s_suppkey % 2 = 0 THEN 'first' ELSE 'second' END AS "_source_system"
+        FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey""",
+    "raw_json_view": """
+        SELECT p_partkey AS product_id, p_name AS product_name, p_retailprice AS unit_price FROM part""",
+    "gold_run": "SELECT * FROM churn",
     "layer_row_counts": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {step}"
         for name, step in _COUNTED.items()

@@ -12,13 +12,17 @@ from salesmarts.bound.tables import BoundTables
 from salesmarts.functions.numeric import published
 from salesmarts.operators import audit, churn, conform, dedup, fact, kpis, sales
 from salesmarts.operators.ordering import ordered
+from salesmarts.plans.config import PipelineConfig
+from salesmarts.plans.pipeline import run_pipeline
 from salesmarts.session import scratch_path
 from salesmarts.sinks.exports import export_csv, export_json
+from salesmarts.sinks.tables import ensure_schema, load_table, publish_view, replace_table
 from salesmarts.sources.files import (
     json_fields,
     json_object_rows,
     read_csv,
     read_json_records,
+    read_raw_json,
 )
 from salesmarts.sources.lineage import with_lineage
 
@@ -423,3 +427,80 @@ def layer_row_counts(t: BoundTables) -> DataFrame:
         "churn_summary": churn.churn_summary(customers),
     }
     return audit.layer_row_counts(bronze | silver | {f"gold_{name}": df for name, df in gold.items()})
+
+
+# Stored tables and the run
+
+
+def _schema(t: BoundTables) -> str:
+    """A schema of its own, its tables in the scratch folder."""
+    path = scratch_path(t.spark, "tables")
+    name = f"q_{path.rpartition('-')[2]}"
+    ensure_schema(t.spark, name, path)
+    return name
+
+
+@_query("gzip_scan")
+def gzip_scan(t: BoundTables) -> DataFrame:
+    """Suppliers from compressed CSV files."""
+    path = scratch_path(t.spark, "suppliers")
+    rows = t.suppliers().select("SupplierID", "CompanyName", "Country")
+    rows.write.option("header", True).option("compression", "gzip").csv(path)
+    return read_csv(t.spark, path, "SupplierID BIGINT, CompanyName STRING, Country STRING")
+
+
+@_query("replaced_table")
+def replaced_table(t: BoundTables) -> DataFrame:
+    """A table written twice under one name, with the number of rows counted while writing."""
+    table = f"{_schema(t)}.people"
+    replace_table(t.silver_employees(), table)
+    written = replace_table(t.silver_customers(), table)
+    return t.spark.table(table).withColumn("rows_written", F.lit(written).cast("bigint"))
+
+
+@_query("appended_load")
+def appended_load(t: BoundTables) -> DataFrame:
+    """Suppliers loaded in two parts, renamed and with lineage; the time of landing left out."""
+    table = f"{_schema(t)}.suppliers"
+    names = {"SupplierID": "supplier_id", "CompanyName": "supplier_name", "Country": "supplier_country"}
+    even = F.col("SupplierID") % 2 == 0
+    load_table(t.suppliers().where(even), table, names, source_system="first")
+    load_table(t.suppliers().where(~even), table, names, mode="append", source_system="second")
+    return t.spark.table(table).drop("_ingest_ts")
+
+
+@_query("raw_json_view")
+def raw_json_view(t: BoundTables) -> DataFrame:
+    """Raw records as variants behind a view, and typed columns taken from the view."""
+    path = scratch_path(t.spark, "raw")
+    records = F.array(F.struct("ProductID", "ProductName", "UnitPrice"))
+    t.products(supplier=False).select(F.to_json(records).alias("value")).write.text(path)
+    name = f"raw_{path.rpartition('-')[2]}"
+    publish_view(read_raw_json(t.spark, path, whole_files=False), name)
+    fields = {
+        "product_id": ("$.ProductID", "bigint"),
+        "product_name": ("$.ProductName", "string"),
+        "unit_price": ("$.UnitPrice", "double"),
+    }
+    return json_fields(t.spark.table(name), "raw_json", fields)
+
+
+@_query("gold_run")
+def gold_run(t: BoundTables) -> DataFrame:
+    """The whole run over the bound tables; of its marts the churn table is read back."""
+    path = scratch_path(t.spark, "run")
+    tag = path.rpartition("-")[2]
+    cfg = PipelineConfig(
+        bronze_schema=f"bronze_{tag}", silver_schema=f"silver_{tag}", gold_schema=f"gold_{tag}",
+        location=path, ref_date=t.spark.range(1).select(t.reference_day()).first()[0],
+    )
+    database = {
+        "customers": t.customers(), "employees": t.employees(), "orders": t.orders(),
+        "orderdetails": t.order_details(),
+    }
+    object_store = {
+        "categories": t.categories(), "suppliers": t.suppliers(), "products": t.products(),
+        "region_lookup": t.region_lookup(), "customer_activity_export": t.activity_export(),
+    }
+    run_pipeline(t.spark, cfg, database, object_store)
+    return t.spark.table(cfg.table("gold", "customer_churn"))

@@ -17,11 +17,14 @@ The table's keys (c_custkey, o_orderkey ...) are still deduplicated by the silve
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmarts.functions.numeric import to_cents
 from salesmarts.operators import conform
+from salesmarts.session import scratch_path
 
 # The columns of the given tables, declared so that opening one runs no job.
 SCHEMAS = {
@@ -59,6 +62,7 @@ class BoundTables:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._frames: dict[str, DataFrame] = {}
+        self._days: dict[tuple[str, str], dt.date | None] = {}
 
     def read(self, name: str) -> DataFrame:
         """A table's frame, opened once."""
@@ -155,15 +159,20 @@ class BoundTables:
         return part.select(*[c.alias(name) for name, c in out.items()])
 
     def categories(self) -> DataFrame:
-        return (
-            self.read("part")
-            .groupBy("p_brand")
-            .agg(F.count("*").alias("parts"))
-            .select(
+        """The distinct brands, stored once.
+
+        Catalyst would take their size to be that of ``part`` and, once that is large, shuffle
+        the products by a key of a few values. Of the stored table it knows the size.
+        """
+        if "categories" not in self._frames:
+            brands = self.read("part").select("p_brand").distinct().select(
                 F.split_part("p_brand", F.lit("#"), F.lit(2)).alias("CategoryID"),
                 F.col("p_brand").alias("CategoryName"),
             )
-        )
+            path = scratch_path(self.spark, "categories")
+            brands.coalesce(1).write.parquet(path)
+            self._frames["categories"] = self.spark.read.schema(brands.schema).parquet(path)
+        return self._frames["categories"]
 
     def region_lookup(self) -> DataFrame:
         return (
@@ -192,11 +201,14 @@ class BoundTables:
         )
 
     def _day_after(self, table: str, column: str) -> Column:
-        last = self.read(table).select(F.date_add(F.max(F.col(column).cast("date")), 1))
-        return last.scalar()
+        """That day as a literal: read once, however often a plan uses it."""
+        if (table, column) not in self._days:
+            last = self.read(table).select(F.date_add(F.max(F.col(column).cast("date")), 1))
+            self._days[table, column] = last.first()[0]
+        return F.lit(self._days[table, column]).cast("date")
 
     def reference_day(self) -> Column:
-        """The day after the last order, as a scalar subquery."""
+        """The day after the last order."""
         return self._day_after("orders", "o_orderdate")
 
     # Silver tables

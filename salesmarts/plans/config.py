@@ -13,12 +13,21 @@ class PipelineConfig:
     database_url: str | None = None
     database_properties: dict[str, str] = field(default_factory=dict)
     database_splits: dict[str, TableSplit] = field(default_factory=dict)
+    # Reads of the order tables in parallel, by order id, where database_splits says nothing.
+    database_partitions: int = 64
     object_store_path: str | None = None
+    # Names of input files other than <table>.csv and <table>.json, such as compressed ones.
+    file_names: dict[str, str] = field(default_factory=dict)
+    # JSON files that hold a record, or an array of records, per line can be split among tasks.
+    json_lines: bool = False
     catalog: str | None = None
     bronze_schema: str = "retail_bronze"
     silver_schema: str = "retail_silver"
     gold_schema: str = "retail_gold"
     table_format: str = "parquet"
+    # Where the schemas' tables are kept, if not in the warehouse.
+    location: str | None = None
+    # Columns of the fact, or year_month, which is added to it then.
     fact_partition_by: tuple[str, ...] = ()
     churn_days: int = 180
     active_days: int = 60
@@ -31,5 +40,16 @@ class PipelineConfig:
         name = getattr(self, f"{layer}_schema")
         return f"{self.catalog}.{name}" if self.catalog else name
 
+    def split(self, table: str) -> TableSplit:
+        """How a database table is read: as told, else by order id, else (lookups) at once."""
+        if table in self.database_splits:
+            return self.database_splits[table]
+        if table in ("orders", "orderdetails"):
+            return TableSplit("OrderID", self.database_partitions)
+        return TableSplit()
+
+    def schema_location(self, layer: str) -> str | None:
+        return f"{self.location}/{layer}" if self.location else None
+
     def table(self, layer: str, name: str) -> str:
         return f"{self.schema(layer)}.{layer}_{name}"

@@ -6,14 +6,17 @@ scan the stored fact, the summary the stored churn table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
+from salesmarts.functions.dates import month_start, year_month
 from salesmarts.operators import churn, conform, fact, sales
+from salesmarts.operators.ordering import ordered
 from salesmarts.plans.config import PipelineConfig
 from salesmarts.session import scratch
 from salesmarts.sinks.exports import export_csv, export_json
 from salesmarts.sinks.tables import ensure_schema, replace_table
-from salesmarts.sources.database import TableSplit, read_database_table
+from salesmarts.sources.database import read_database_table
 from salesmarts.sources.files import read_csv, read_json_object, read_json_records
 from salesmarts.sources.lineage import with_lineage
 from salesmarts.sources.schemas import CSV_FILES, DATABASE_TABLES, JSON_RECORDS
@@ -25,26 +28,39 @@ EXPORTED = (
 )
 FEED = EXPORTED[1:]
 
+# Rules by which values of the conformed tables are converted.
+RULES = {
+    "customers": conform.CUSTOMERS,
+    "employees": conform.EMPLOYEES,
+    "orders": conform.ORDERS,
+    "products": conform.PRODUCTS,
+    "order_details": conform.ORDER_DETAILS,
+    "customer_activity": conform.ACTIVITY,
+}
+
 
 def read_database(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame]:
     return {
         name: read_database_table(
-            spark, cfg.database_url, name, cfg.database_splits.get(name, TableSplit()),
-            cfg.database_properties, schema,
+            spark, cfg.database_url, name, cfg.split(name), cfg.database_properties, schema,
         )
         for name, schema in DATABASE_TABLES.items()
     }
 
 
 def read_object_store(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame]:
-    root = cfg.object_store_path
+    def path(name: str, usual: str) -> str:
+        return f"{cfg.object_store_path}/{cfg.file_names.get(name, usual)}"
+
     tables = {
-        name: read_csv(spark, f"{root}/{name}.csv", schema) for name, schema in CSV_FILES.items()
+        name: read_csv(spark, path(name, f"{name}.csv"), schema) for name, schema in CSV_FILES.items()
     }
     for name, schema in JSON_RECORDS.items():
-        tables[name] = read_json_records(spark, f"{root}/{name}.json", schema)
+        tables[name] = read_json_records(
+            spark, path(name, f"{name}.json"), schema, multi_line=not cfg.json_lines
+        )
     tables["region_lookup"] = read_json_object(
-        spark, f"{root}/order_region_lookup.json", "Country", "Region"
+        spark, path("region_lookup", "order_region_lookup.json"), "Country", "Region"
     )
     return tables
 
@@ -52,7 +68,7 @@ def read_object_store(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Dat
 def land_bronze(
     spark: SparkSession, cfg: PipelineConfig, tables: dict[str, DataFrame], source_system: str
 ) -> dict[str, int]:
-    ensure_schema(spark, cfg.schema("bronze"))
+    ensure_schema(spark, cfg.schema("bronze"), cfg.schema_location("bronze"))
     counts = {}
     for name, df in tables.items():
         target = cfg.table("bronze", name)
@@ -60,28 +76,45 @@ def land_bronze(
     return counts
 
 
-def build_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
-    ensure_schema(spark, cfg.schema("silver"))
-
-    def raw(name: str) -> DataFrame:
-        return spark.table(cfg.table("bronze", name))
+def build_silver(
+    spark: SparkSession, cfg: PipelineConfig, rejected: dict[str, int] | None = None
+) -> dict[str, int]:
+    """``rejected`` receives, per table and column, the values that could not be converted,
+    where there are any."""
+    ensure_schema(spark, cfg.schema("silver"), cfg.schema_location("silver"))
+    seen: dict[str, Observation] = {}
+
+    def raw(name: str, table: str | None = None) -> DataFrame:
+        df = spark.table(cfg.table("bronze", name))
+        if table is None:
+            return df
+        seen[table] = Observation()
+        return df.observe(seen[table], *conform.rejected(df, RULES[table]))
 
     tables = {
-        "customers": conform.silver_customers(raw("customers")),
-        "employees": conform.silver_employees(raw("employees")),
-        "orders": conform.silver_orders(raw("orders"), raw("region_lookup")),
-        "products": conform.silver_products(raw("products"), raw("categories"), raw("suppliers")),
-        "order_details": conform.silver_order_details(raw("orderdetails")),
-        "customer_activity": conform.silver_customer_activity(raw("customer_activity_export")),
+        "customers": conform.silver_customers(raw("customers", "customers")),
+        "employees": conform.silver_employees(raw("employees", "employees")),
+        "orders": conform.silver_orders(raw("orders", "orders"), raw("region_lookup")),
+        "products": conform.silver_products(
+            raw("products", "products"), raw("categories"), raw("suppliers")
+        ),
+        "order_details": conform.silver_order_details(raw("orderdetails", "order_details")),
+        "customer_activity": conform.silver_customer_activity(
+            raw("customer_activity_export", "customer_activity")
+        ),
     }
-    return {
+    counts = {
         cfg.table("silver", name): replace_table(df, cfg.table("silver", name), cfg.table_format)
         for name, df in tables.items()
     }
+    if rejected is not None:
+        for name in tables:
+            rejected.update({f"{name}.{column}": n for column, n in seen[name].get.items() if n})
+    return counts
 
 
 def build_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
-    ensure_schema(spark, cfg.schema("gold"))
+    ensure_schema(spark, cfg.schema("gold"), cfg.schema_location("gold"))
     counts = {}
 
     def silver(name: str) -> DataFrame:
@@ -96,6 +129,8 @@ def build_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
         silver("order_details"), silver("orders"), silver("products"), silver("customers"),
         silver("employees"), cfg.fact_join,
     )
+    if "year_month" in cfg.fact_partition_by:
+        lines = lines.withColumn("year_month", year_month(month_start(F.col("order_date"))))
     if cfg.fact_partition_by:
         # Rebalancing gathers each partition value for the writers and splits a hot one.
         lines = lines.hint("rebalance", *cfg.fact_partition_by)
@@ -125,7 +160,7 @@ def build_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
 
 
 def export_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
-    gold = {name: spark.table(cfg.table("gold", name)) for name in EXPORTED}
+    gold = {name: ordered(name, spark.table(cfg.table("gold", name))) for name in EXPORTED}
     for name, df in gold.items():
         export_csv(df, f"{cfg.export_path}/csv/gold_{name}")
     export_json({f"gold_{n}": gold[n] for n in FEED}, f"{cfg.export_path}/feed")
@@ -136,16 +171,19 @@ def run_pipeline(
     cfg: PipelineConfig,
     database: dict[str, DataFrame] | None = None,
     object_store: dict[str, DataFrame] | None = None,
+    rejected: dict[str, int] | None = None,
 ) -> dict[str, int]:
     """Run all layers; returns the rows written per table.
 
     Raw frames may be passed in; otherwise they are read from the sources ``cfg`` names.
+    ``rejected`` receives the numbers of raw values that could not be converted and are null
+    in the conformed tables, by table and column.
     """
     database = database or read_database(spark, cfg)
     object_store = object_store or read_object_store(spark, cfg)
     counts = land_bronze(spark, cfg, database, "db_source")
     counts |= land_bronze(spark, cfg, object_store, "object_store")
-    counts |= build_silver(spark, cfg)
+    counts |= build_silver(spark, cfg, rejected)
     counts |= build_gold(spark, cfg)
     if cfg.export_path:
         export_gold(spark, cfg)

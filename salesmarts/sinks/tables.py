@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from salesmarts.sources.lineage import with_lineage
+
 
 def ensure_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
     """Create a schema that is not there yet, its tables under ``location`` if given."""
@@ -46,10 +48,14 @@ def load_table(
     renames: dict[str, str] | None = None,
     mode: str = "overwrite",
     fmt: str = "parquet",
+    source_system: str | None = None,
 ) -> int:
-    """Load renamed rows into ``table``. ``mode="append"`` adds to what is there, so a
+    """Load renamed rows into ``table``, with their lineage if ``source_system`` is given. ``mode="append"`` adds to what is there, so a
     repeated load would add its rows twice; the default replaces them."""
-    return _save(df.withColumnsRenamed(renames or {}), table, mode, fmt, ())
+    df = df.withColumnsRenamed(renames or {})
+    if source_system is not None:
+        df = with_lineage(df, source_system)
+    return _save(df, table, mode, fmt, ())
 
 
 def publish_view(df: DataFrame, name: str) -> None:

@@ -89,11 +89,11 @@ def json_fields(
     )
 
 
-def read_raw_json(spark: SparkSession, path: str) -> DataFrame:
-    """JSON array files as one variant per record, for ``json_fields``.
+def read_raw_json(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
+    """JSON arrays as one variant per record, for ``json_fields``.
 
-    A file is taken whole, so it should be no larger than one task can hold; files with a
-    record per line need no array and are read by ``read_json_records``.
+    An array takes a file, which then should be no larger than one task can hold, or with
+    ``whole_files=False`` a line, so that files are split among tasks.
     """
     array = F.from_json(F.col("value"), "array<variant>", {"mode": "FAILFAST"})
-    return spark.read.text(path, wholetext=True).select(F.explode(array).alias("raw_json"))
+    return spark.read.text(path, wholetext=whole_files).select(F.explode(array).alias("raw_json"))
