@@ -1,0 +1,26 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from odd_documents import CLASHING, SCHEMA, odd_rows  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    return spark.createDataFrame(odd_rows(), SCHEMA).repartition(5)
+
+
+@pytest.fixture(scope="session")
+def clashing(odd):
+    return odd.select("*", *[F.lit(k).alias(name) for k, name in enumerate(CLASHING)])
+
+
+@pytest.fixture(scope="session")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)

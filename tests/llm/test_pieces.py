@@ -1,0 +1,92 @@
+from __future__ import annotations
+
+import random
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from odd_documents import odd_rows, table
+
+from salesmarts.llm import pieces
+
+FILE = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def machine():
+    with open(FILE, "rb") as f:
+        return pieces.Transducer(f.read())
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=FILE)
+
+
+def agree(machine, library, texts):
+    found = [x.tolist() for x in machine.encode(texts)]
+    assert found == library.encode(texts, num_threads=1)
+    assert [machine.decode(x) for x in found] == [t.replace("▁", " ") for t in texts]
+
+
+def test_edges(machine, library):
+    agree(machine, library, ["", " ", "  ", "a", " a", "a ", "Hello,  wor\tld\n\n ok", "▁a ▁", "<s> </s> <unk> <0x0A>", "日本語 🙂", "\x00a"])
+
+
+def test_runs_of_spaces_and_signs(machine, library):
+    agree(machine, library, [" " * n for n in range(40)] + ["x" + " " * n + "y" for n in range(40)] + ["=" * n for n in range(60)])
+
+
+@pytest.mark.parametrize("parts", [
+    ["a", "b", "e", "t", "h", "the", "ing", " ", "  ", "\n", ".", ",", "1", "2024", "é", "字", "🙂", "on", "tion", "--", "http", "://", "(", ")"],
+    list("aabbcdeehilnorsttu"), list("ab"), ["=", "-", "/", "*", "0", "00", "#", " "],
+])
+def test_random_texts(machine, library, parts):
+    rnd = random.Random(1)
+    agree(machine, library, ["".join(rnd.choices(parts, k=rnd.randint(1, 50))) for _ in range(1500)])
+
+
+def test_weights_decide_in_a_unigram_model():
+    """A small unigram model, built field by field, against all segmentations."""
+    def message(*fields):
+        out = b""
+        for number, value in fields:
+            if isinstance(value, int):
+                out += bytes([number << 3 & 127 | (128 if number > 15 else 0)] + ([number >> 4] if number > 15 else [])) + bytes([value])
+            else:
+                out += bytes([number << 3 | (5 if isinstance(value, float) else 2)])
+                out += __import__("struct").pack("<f", value) if isinstance(value, float) else bytes([len(value)]) + value
+        return out
+
+    scores = {"▁": -3.0, "a": -2.0, "b": -2.5, "ab": -3.5, "▁a": -2.2, "ba": -3.1, "aba": -7.5}
+    data = message((1, message((1, b"<unk>"), (2, 0.0), (3, 2))))
+    for text, score in scores.items():
+        data += message((1, message((1, text.encode()), (2, score))))
+    data += message((2, message((3, 1)))) + message((3, message((3, 1), (4, 0))))
+    machine = pieces.Transducer(data)
+    names = list(scores)
+
+    def cheapest(text):
+        best = [(0.0, [])] + [None] * len(text)
+        for end in range(1, len(text) + 1):
+            ways = [(best[s][0] - scores[text[s:end]], best[s][1] + [text[s:end]]) for s in range(end) if text[s:end] in scores and best[s]]
+            best[end] = min(ways) if ways else None
+        return best[-1]
+
+    rnd = random.Random(2)
+    for _ in range(60):
+        text = "".join(rnd.choices("ab", k=rnd.randint(1, 9)))
+        path = machine.encode([text])[0].tolist()
+        cost, _ = cheapest("▁" + text)
+        assert "".join(names[k - 1] for k in path) == "▁" + text
+        assert abs(sum(-scores[names[k - 1]] for k in path) - cost) < 1e-5
+
+
+def test_rows_and_round_trip(odd, clashing, nothing, library):
+    found = pieces.encoded(odd, FILE)
+    want = [(i, library.encode(t or ""), len(library.encode(t or "")), True) for i, t, *_ in odd_rows()]
+    assert table(found) == sorted(want, key=lambda r: [(v is None, str(v)) for v in r])
+    back = pieces.decoded(found, FILE)
+    assert table(back) == sorted([(i, t or "") for i, t, *_ in odd_rows()], key=lambda r: [(v is None, str(v)) for v in r])
+    assert pieces.encoded(clashing, FILE).count() == len(odd_rows())
+    assert pieces.encoded(nothing, FILE).collect() == []
