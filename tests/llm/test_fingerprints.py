@@ -1,0 +1,69 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pytest
+from odd_documents import odd_rows, sentence
+
+from salesmarts.llm import fingerprints
+from salesmarts.llm.fingerprints import Fingerprinter, document_fingerprints, edited, likeness, near_counts
+
+NAMES = ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_near")
+
+
+def expected(rows):
+    rows = sorted(((i, t or "") for i, t, *_ in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    of = Fingerprinter().of
+    prints = [of(t.encode()) for _, t in rows]
+    out = []
+    for k, (i, text) in enumerate(rows):
+        after = (k + 1) % len(rows)
+        changed = edited(text, rows[after][1]).encode()
+        near = sum(
+            (int.from_bytes(p, "little") ^ int.from_bytes(prints[k], "little")).bit_count() <= 3 for p in prints
+        ) - 1
+        out.append((
+            i, len(text), hashlib.sha256(changed).hexdigest(), prints[k].hex(), of(changed).hex(),
+            likeness(prints[k], of(changed)), likeness(prints[k], prints[after]), near,
+        ))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("rows_per_bucket", [3, 2000])
+def test_by_brute_force(monkeypatch, odd, clashing, rows_per_bucket):
+    monkeypatch.setattr(fingerprints, "BUCKET_ROWS", rows_per_bucket)
+    for docs in (odd, clashing):
+        found = document_fingerprints(docs)
+        assert found.columns == list(NAMES)
+        assert sorted(map(tuple, found.collect()), key=str) == expected(odd_rows())
+
+
+def test_few_rows(spark, nothing):
+    assert document_fingerprints(nothing).collect() == []
+    one = document_fingerprints(spark.createDataFrame([(4, "only one")], "doc_id bigint, text string")).first()
+    assert one.near_next == 1.0 and one.edited_sha256 == hashlib.sha256(b"only oon").hexdigest()
+
+
+def test_likeness_follows_what_is_shared():
+    rnd = random.Random(3)
+    of = Fingerprinter().of
+    text, other = sentence(rnd, 500), sentence(rnd, 500)
+    same, quarter, none = (likeness(of(text.encode()), of(t.encode())) for t in (text, edited(text, other), other))
+    assert same == 1.0 and quarter > 0.5 > none
+
+
+@pytest.mark.parametrize("slice_rows", [8, 64, 4096])
+def test_all_within_the_radius_also_in_large_buckets(spark, slice_rows):
+    rnd = random.Random(6)
+    prints = [rnd.randbytes(16) for _ in range(150)] + [bytes(15) + bytes([k]) for k in range(200)]
+    df = spark.createDataFrame([(bytearray(p), k % 5 + 1) for k, p in enumerate(prints)], "fp binary, n bigint")
+    want = {}
+    for a in prints:
+        near = sum(
+            k % 5 + 1 for k, b in enumerate(prints)
+            if b != a and (int.from_bytes(a, "little") ^ int.from_bytes(b, "little")).bit_count() <= 3
+        )
+        if near:
+            want[a] = near
+    assert {bytes(r.fp): r.near for r in near_counts(df, 3, slice_rows).collect()} == want
