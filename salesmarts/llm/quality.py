@@ -249,4 +249,6 @@ def of_quality(
         for block in common.blocks(batches, text_at=at):
             yield block.filter(pa.array(scores(common.utf8(block.column(at))) >= threshold))
 
-    return docs.mapInArrow(kept, docs.schema)
+    # Under plain names meanwhile: the columns' own may hold dots.
+    plain_names = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    return plain_names.mapInArrow(kept, plain_names.schema).toDF(*docs.columns)
