@@ -95,9 +95,11 @@ def telling(docs: list[set], y: np.ndarray) -> tuple[list, np.ndarray]:
     n = np.array([counts[f] for f in kept], float).reshape(-1, 2)
     size = np.array([(y == 0).sum(), (y == 1).sum()], float)
     rate = (n + 0.5) / (size + 1)
-    gain = sum(rate[:, c] * np.log(rate[:, c] / rate.mean(1)) + (1 - rate[:, c]) * np.log((1 - rate[:, c]) / (1 - rate.mean(1))) for c in (0, 1))
-    order = np.argsort(-gain, kind="stable")
-    order = order[2 * size.min() * gain[order] >= LEAST_EVIDENCE]
+    pooled = ((n.sum(1) + 1) / (size.sum() + 2))[:, None]
+    parts = rate * np.log(rate / pooled) + (1 - rate) * np.log((1 - rate) / (1 - pooled))
+    evidence = 2 * (parts * size).sum(1)
+    order = np.argsort(-evidence, kind="stable")
+    order = order[evidence[order] >= LEAST_EVIDENCE]
     return [kept[i] for i in order], np.log(rate[order, 1] / rate[order, 0])
 
 
