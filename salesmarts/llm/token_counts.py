@@ -17,6 +17,8 @@ from salesmarts.llm import common
 
 #: Bytes of text in one entry of an encoding batch.
 SEGMENT_BYTES = 32 << 10
+#: Chunks whose counts are kept for later texts; beyond, the memo starts afresh.
+MEMO_CHUNKS = 1_200_000
 
 # A single space between two characters that are no white space always begins a new word of
 # the byte-level splitting pattern, whatever stands around it.
@@ -88,7 +90,7 @@ class Counter:
         self._learn(list(set().union(*(c[1:] for c in cut)) - known.keys()), " ", known)
         out = [first[c[0]] + sum(map(known.__getitem__, c[1:])) for c in cut]
         for memo in (known, first):
-            if len(memo) > common.MEMO_WORDS:
+            if len(memo) > MEMO_CHUNKS:
                 memo.clear()
         return out
 

@@ -34,7 +34,7 @@ def test_any_mixture_of_spaces_signs_and_special_strings():
 
 
 def test_memo_may_start_afresh(monkeypatch):
-    monkeypatch.setattr(token_counts.common, "MEMO_WORDS", 2)
+    monkeypatch.setattr(token_counts, "MEMO_CHUNKS", 2)
     with open(BYTES, encoding="utf-8") as f:
         counter = token_counts.Counter(f.read())
     for texts in (["a b c d", "e f g"], ["a b c d"]):
