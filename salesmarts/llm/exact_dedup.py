@@ -59,7 +59,9 @@ def _merged(runs: DataFrame, fan_in: int) -> DataFrame:
 
 def _decided(runs: DataFrame, fan_in: int, *more: str) -> DataFrame:
     """Runs with keep_id, group_size and kept. Rows without a copy need no partner."""
+    # Written, so that the join deals out both sides itself and can split a hot digest's rows.
     copies = _merged(runs.select(*DIGEST, "run", "doc_id", "row_no"), fan_in).where(F.col("n") > 1)
+    copies = common.written(copies, "copies")
     rows = runs.select(*DIGEST, "doc_id", "row_no", *more)
     single = F.col("n").isNull()
     return rows.join(copies, DIGEST, "left").select(
