@@ -51,8 +51,9 @@ def sales_fact(
 
 def _sums(lines: DataFrame, *keys: str) -> DataFrame:
     """Revenue in cents and units per key, from lines with or without their revenue in parts."""
-    if "large_cents" in lines.columns:
-        ordinary, large = F.col("revenue_cents"), F.col("large_cents")
+    if "revenue_cents" in lines.columns:
+        ordinary = F.col("revenue_cents")
+        large = F.col("large_cents") if "large_cents" in lines.columns else F.lit(None)
     else:
         cents = (F.col("line_revenue") * 100).cast(CENTS)
         plain = F.abs(F.col("line_revenue")) < 10**7

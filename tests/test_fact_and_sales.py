@@ -9,6 +9,7 @@ from conftest import rows
 from golden import MONTHS
 from pyspark.sql import functions as F
 
+from salesmarts.operators.ordering import ordered  # noqa: I001
 from salesmarts.operators import fact, kpis, sales
 
 D = Decimal
@@ -89,9 +90,9 @@ def test_marts_from_a_stored_fact_are_the_same(silver):
 
 def test_marts_are_sorted(spark, silver):
     lines, orders, products, *_ = silver
-    months = [r.year_month for r in sales.sales_monthly(fact.order_sales(lines, orders)).collect()]
+    months = [r.year_month for r in ordered("sales_monthly", sales.sales_monthly(fact.order_sales(lines, orders))).collect()]
     assert months == [None, "2024-01", "2024-02"]
-    totals = [r.total_revenue for r in sales.sales_by_category(fact.product_sales(lines, products)).collect()]
+    totals = [r.total_revenue for r in ordered("sales_by_category", sales.sales_by_category(fact.product_sales(lines, products))).collect()]
     assert totals == sorted(totals, reverse=True)
 
 
@@ -100,7 +101,10 @@ def test_tie_at_the_last_rank_goes_to_the_lower_id(spark):
         [(i, f"p{i}", "c", 500 if i > 3 else 900, 1) for i in range(15, 0, -1)],
         "product_id bigint, product_name string, category_name string, revenue_cents bigint, units bigint",
     )
-    assert [r.product_id for r in sales.top_products(sums).collect()] == list(range(1, 11))
+    assert [r.product_id for r in ordered("top_products", sales.top_products(sums)).collect()] == list(range(1, 11))
+    named = spark.createDataFrame([(1, "one", "c")], "product_id bigint, product_name string, category_name string")
+    joined = sales.top_products(sums.select("product_id", "revenue_cents", "units"), 2, named)
+    assert rows(joined) == [(1, "one", "c", D("9.00"), 1), (2, None, None, D("9.00"), 1)]
     assert len(sales.top_products(sums, 3).collect()) == 3
     assert [(r.product_id, r["rank"]) for r in kpis.ranked(sales.top_products(sums, 3)).orderBy("rank").collect()] == [
         (1, 1), (2, 2), (3, 3),

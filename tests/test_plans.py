@@ -8,7 +8,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from salesmarts.bound import queries
 from salesmarts.bound.queries import all_queries
+from salesmarts.bound.tables import BoundTables
 from salesmarts.operators import fact
 from salesmarts.operators.dedup import keep_one
 from salesmarts.operators.joins import attach
@@ -77,9 +79,54 @@ def test_unused_dimension_is_not_joined(spark):
     assert "Join" not in _plan(big.join(dimension, "k", "left").select("id"))
 
 
-def test_largest_value_shares_the_shuffles_of_its_mart(large):
-    plan = _final_plan(all_queries()["category_share_of_max"](large, SF))
-    assert "ReusedExchange" in plan
+@pytest.mark.parametrize("name", ["category_share_of_max", "region_share_of_max", "product_share_of_max", "churn_share_of_max"])
+def test_lines_are_scanned_once_for_shares(large, name):
+    plan = _plan(all_queries()[name](large, SF))
+    scans = re.findall(r"FileScan parquet \[([^\]]*l_orderkey[^\]]*|[^\]]*l_partkey[^\]]*)\]", plan)
+    assert len(scans) == 1 and "Subquery" not in plan
+
+
+def test_counts_join_the_fact_once(large):
+    counted = queries._fact(BoundTables(large, SF), split_hot=False).agg(F.count("*"))
+    assert _plan(counted).count("Join") == 1
+
+
+def test_top_products_are_limited_before_their_names_are_joined(large):
+    plan = _plan(all_queries()["top_products"](large, SF))
+    assert plan.index("Join") < plan.index("TakeOrderedAndProject", plan.index("Join"))
+
+
+def test_products_are_not_shuffled_by_category(spark):
+    plan = _plan(all_queries()["silver_products"](spark, SF))
+    assert re.search(r"BroadcastHashJoin \[category_id", plan)
+    assert "SortMergeJoin [category_id" not in plan
+
+
+def _written_plans(spark, build):
+    """Plans of all that ``build`` writes while it runs, and of what it returns."""
+    seen = []
+    frame = type(spark.range(0))
+    plain = frame.write.fget
+
+    def write(self):
+        seen.append(_plan(self))
+        return plain(self)
+
+    frame.write = property(write)
+    try:
+        seen.append(_plan(build()))
+    finally:
+        frame.write = property(plain)
+    return seen
+
+
+@pytest.mark.parametrize("name", ["scan_csv", "null_tokens", "scan_json", "export_csv", "export_json", "gold_run", "gzip_scan", "raw_json_view"])
+def test_what_is_written_has_no_cross_join_and_no_python(large, name):
+    plans = _written_plans(large, lambda: all_queries()[name](large, SF))
+    assert len(plans) > 1
+    for plan in plans:
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+        assert "Python" not in plan and "Pandas" not in plan
 
 
 def test_hot_key_is_split(large):

@@ -13,6 +13,8 @@ from test_sources import CATEGORIES, LOOKUP
 
 from salesmarts import PipelineConfig, run_pipeline
 from salesmarts.operators.audit import layer_row_counts
+from salesmarts.operators.ordering import ordered
+from salesmarts.plans.pipeline import read_object_store
 from salesmarts.session import scratch, scratch_path, sized
 from salesmarts.sinks.exports import export_csv, export_json
 from salesmarts.sinks.tables import (
@@ -22,6 +24,7 @@ from salesmarts.sinks.tables import (
     replace_table,
     use_schema,
 )
+from salesmarts.sources.database import TableSplit
 from salesmarts.sources.files import read_csv
 from salesmarts.sources.schemas import DATABASE_TABLES
 
@@ -67,6 +70,54 @@ def test_csv_export_reads_back(spark, tmp_path):
     assert rows(read_csv(spark, path, df.schema)) == rows(df)
 
 
+def test_csv_export_keeps_spaces_quotes_and_line_breaks(spark, tmp_path):
+    texts = [" lead", "trail ", " both ", 'say "no"', "back\\slash", "two\nlines", "comma, too", 'end"', "\ttab"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, note string")
+    export_csv(df, str(tmp_path / "out"))
+    assert rows(read_csv(spark, str(tmp_path / "out"), df.schema, multi_line=True)) == rows(df)
+
+
+def test_ordered_exports_stay_in_order(spark, tmp_path):
+    months = [(f"{y}-{m:02d}", y * m) for y in range(1900, 2000) for m in range(1, 13)]
+    random.Random(1).shuffle(months)
+    df = spark.createDataFrame(months, "year_month string, total_revenue bigint").repartition(6)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        export_csv(ordered("sales_monthly", df), str(tmp_path / "m"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    parts = sorted((tmp_path / "m").glob("part-*.csv"))
+    lines = [x for p in parts for x in p.read_text().splitlines()[1:]]
+    assert len(parts) > 1 and [x.split(",")[0] for x in lines] == sorted(m for m, _ in months)
+    top = ordered("top_products", spark.createDataFrame([(2, 5), (1, 5), (3, 9)], "product_id int, total_revenue int"))
+    assert [r.product_id for r in top.collect()] == [3, 1, 2]
+
+
+def test_lost_values_are_counted(spark, sources, tmp_path):
+    _, database, lines = sources
+    bad = spark.createDataFrame(
+        [("1", "1", "1e17", "2", "0"), ("2", "1", "abc", "2", "0"), ("3", "x", "1.5", "many", "0"), ("4", "1", "", None, "0")],
+        "OrderID string, ProductID string, UnitPrice string, Quantity string, Discount string",
+    )
+    cfg = PipelineConfig(
+        object_store_path=sources[0], bronze_schema="b_lost", silver_schema="s_lost", gold_schema="g_lost",
+        location=str(tmp_path / "tables"), fact_partition_by=("year_month",),
+    )
+    lost = {}
+    run_pipeline(spark, cfg, database | {"orderdetails": bad}, rejected=lost)
+    assert lost == {"order_details.price_cents": 2, "order_details.product_id": 1, "order_details.quantity": 1}
+    assert (tmp_path / "tables" / "gold").is_dir()
+    one = spark.table(cfg.table("gold", "sales_fact")).where("year_month = '2024-03'")
+    assert "PartitionFilters: [isnotnull(year_month" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_order_tables_are_read_in_parallel_by_default():
+    cfg = PipelineConfig(database_partitions=12, database_splits={"customers": TableSplit("X", 3)})
+    assert cfg.split("orders") == cfg.split("orderdetails") == TableSplit("OrderID", 12)
+    assert cfg.split("customers").partitions == 3 and cfg.split("shippers").partitions == 1
+
+
 def test_json_feed(spark, tmp_path):
     df = spark.createDataFrame([("EMEA", None), ("AMER", 2)], "region string, n int")
     export_json({"gold_a": df, "gold_b": df.limit(0)}, str(tmp_path))
@@ -198,6 +249,31 @@ def test_pipeline_exports(spark, run):
     assert feed.count() == counts[cfg.table("gold", "customer_churn")]
 
 
+def test_lined_json_and_compressed_files(spark, sources, tmp_path):
+    import gzip
+    import shutil
+
+    store, database, _ = sources
+    for name in os.listdir(store):
+        shutil.copy(os.path.join(store, name), tmp_path / name)
+    with open(os.path.join(store, "products.json")) as f:
+        (tmp_path / "products.json").write_text("\n".join(json.dumps(x) for x in json.load(f)))
+    (tmp_path / "cats.csv.gz").write_bytes(gzip.compress((tmp_path / "categories.csv").read_bytes()))
+    cfg = PipelineConfig(object_store_path=str(tmp_path), json_lines=True, file_names={"categories": "cats.csv.gz"})
+    plain = PipelineConfig(object_store_path=store)
+    for name in ("products", "categories"):
+        a, b = read_object_store(spark, cfg)[name], read_object_store(spark, plain)[name]
+        assert rows(a) == rows(b) and a.count() > 0
+
+
+def test_a_run_leaves_no_scratch_data(spark, run, sources):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    folder = os.path.join(shared, f"scratch-{spark.sparkContext.applicationId}")
+    before = set(os.listdir(folder))
+    run_pipeline(spark, run[0], sources[1])
+    assert set(os.listdir(folder)) <= before
+
+
 def test_pipeline_can_be_run_again(spark, run, sources):
     cfg, counts = run
     assert run_pipeline(spark, cfg, sources[1]) == counts

@@ -22,12 +22,12 @@ BAD_INPUT = "(?i)malformed|failfast|header"
 
 CATEGORIES = (
     "CategoryID,CategoryName,Description\n"
-    '1,Beverages,"Soft drinks, coffees, teas, beers, and ales"\n'
-    "4,Dairy Products,Cheeses\n"
+    '1,Garden,"Spades, rakes, and hoses"\n'
+    "4,Kitchen Tools,Whisks\n"
 )
 PRODUCTS = """[
-  {"ProductID": 1, "ProductName": "Chai", "CategoryID": 1, "SupplierID": 1, "UnitPrice": 18.0},
-  {"ProductID": 2, "ProductName": "Chang", "CategoryID": 1, "SupplierID": 1, "UnitPrice": 19.0}
+  {"ProductID": 1, "ProductName": "Spade", "CategoryID": 1, "SupplierID": 1, "UnitPrice": 18.0},
+  {"ProductID": 2, "ProductName": "Rake", "CategoryID": 1, "SupplierID": 1, "UnitPrice": 19.0}
 ]"""
 LOOKUP = '{"Germany": "EMEA", "UK": "EMEA", "Mexico": "AMER", "Japan": "APAC"}'
 
@@ -45,8 +45,8 @@ def _put(tmp_path, name, text):
 def test_csv(spark, tmp_path, name):
     df = read_csv(spark, _put(tmp_path, name, CATEGORIES), CSV_FILES["categories"])
     assert rows(df) == [
-        (1, "Beverages", "Soft drinks, coffees, teas, beers, and ales"),
-        (4, "Dairy Products", "Cheeses"),
+        (1, "Garden", "Spades, rakes, and hoses"),
+        (4, "Kitchen Tools", "Whisks"),
     ]
 
 
@@ -82,7 +82,7 @@ def test_csv_header_must_match_the_schema(spark, tmp_path):
 @pytest.mark.parametrize("name", ["products.json", "products.json.gz"])
 def test_json_array_of_records(spark, tmp_path, name):
     df = read_json_records(spark, _put(tmp_path, name, PRODUCTS), JSON_RECORDS["products"])
-    assert rows(df) == [(1, "Chai", 1, 1, 18.0), (2, "Chang", 1, 1, 19.0)]
+    assert rows(df) == [(1, "Spade", 1, 1, 18.0), (2, "Rake", 1, 1, 19.0)]
 
 
 def test_json_array_per_line(spark, tmp_path):
@@ -122,7 +122,7 @@ def test_paths_into_raw_json(spark, tmp_path):
         "missing": ("$.Nothing", "string"),
     }
     assert rows(json_fields(raw, "raw_json", fields)) == [
-        (1, "Chai", 18.0, None), (2, "Chang", 19.0, None),
+        (1, "Spade", 18.0, None), (2, "Rake", 19.0, None),
     ]
 
 
