@@ -273,7 +273,9 @@ def document_fingerprints(
     around = distinct.join(near_counts(distinct, radius), "fp", "left").select(
         F.col("fp").alias("fingerprint"), (F.col("n") - 1 + F.coalesce("near", F.lit(0))).alias("n_near")
     )
-    shown = prints.join(around.where("n_near > 0"), "fingerprint", "left")
+    # Written, so that the join deals out both sides itself and can split a hot fingerprint's rows.
+    around = common.written(around.where("n_near > 0"), "near-fingerprints")
+    shown = prints.join(around, "fingerprint", "left")
     as_hex = lambda c: F.lower(F.hex(c)).alias(c)
     return shown.select(
         "doc_id", "n_chars", "edited_sha256", as_hex("fingerprint"), as_hex("edited_fingerprint"),
