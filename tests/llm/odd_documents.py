@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Columns whose names clash with those of results and of intermediate tables.
 CLASHING = (
@@ -27,6 +30,21 @@ def odd_rows() -> list[tuple]:
     return rows
 
 
+@pytest.fixture(scope="session")
+def odd(spark):
+    return spark.createDataFrame(odd_rows(), SCHEMA).repartition(5)
+
+
+@pytest.fixture(scope="session")
+def clashing(odd):
+    return odd.select("*", *[F.lit(k).alias(name) for k, name in enumerate(CLASHING)])
+
+
+@pytest.fixture(scope="session")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
 def table(df, *columns):
     """Rows as sorted tuples, nulls last."""
     out = [tuple(r[c] for c in columns) if columns else tuple(r) for r in df.collect()]

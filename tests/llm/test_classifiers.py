@@ -6,7 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
-from odd_documents import odd_rows
+from odd_documents import clashing, nothing, odd, odd_rows  # noqa: F401
 
 from salesmarts.llm import common, language, quality, toxicity
 from salesmarts.llm.queries import llm_queries

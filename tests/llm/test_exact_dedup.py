@@ -5,7 +5,7 @@ import re
 from collections import defaultdict
 
 import pytest
-from odd_documents import odd_rows, table
+from odd_documents import clashing, nothing, odd, odd_rows, table  # noqa: F401
 
 from salesmarts.llm import exact_dedup
 

@@ -4,7 +4,7 @@ import hashlib
 import random
 
 import pytest
-from odd_documents import odd_rows, sentence
+from odd_documents import clashing, nothing, odd, odd_rows, sentence  # noqa: F401
 
 from salesmarts.llm import fingerprints
 from salesmarts.llm.fingerprints import Fingerprinter, document_fingerprints, edited, likeness, near_counts

@@ -4,7 +4,7 @@ import random
 import re
 
 import pytest
-from odd_documents import odd_rows
+from odd_documents import clashing, nothing, odd, odd_rows  # noqa: F401
 
 from salesmarts.llm import licenses
 from salesmarts.llm.licenses import PHRASES, TEMPLATES, Scanner, SuffixAutomaton, license_scan

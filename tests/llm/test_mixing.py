@@ -4,7 +4,7 @@ import re
 from collections import Counter
 
 import pytest
-from odd_documents import odd_rows
+from odd_documents import clashing, nothing, odd, odd_rows  # noqa: F401
 from pyspark.sql import functions as F
 
 from salesmarts.llm import mixing

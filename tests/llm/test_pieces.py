@@ -5,7 +5,7 @@ import random
 import public_tokenizers
 import pytest
 import sentencepiece
-from odd_documents import odd_rows, table
+from odd_documents import clashing, nothing, odd, odd_rows, table  # noqa: F401
 
 from salesmarts.llm import pieces
 

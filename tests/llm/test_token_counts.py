@@ -4,7 +4,7 @@ import random
 
 import public_tokenizers
 import pytest
-from odd_documents import odd_rows, table
+from odd_documents import clashing, nothing, odd, odd_rows, table  # noqa: F401
 from tokenizers import Tokenizer
 
 from salesmarts.llm import token_counts
