@@ -33,24 +33,30 @@ MAX_SCAN_TASKS = 200_000
 MAX_REDUCERS = 50_000
 
 
-def sized(input_bytes: int, cores: int = 8) -> dict[str, str]:
+def sized(
+    input_bytes: int, cores: int = 8, max_scan_tasks: int = MAX_SCAN_TASKS, max_reducers: int = MAX_REDUCERS
+) -> dict[str, str]:
     """Scan split and shuffle partitions for an input of ``input_bytes``.
 
-    Tasks of 128 MB of input and reducers of about 256 MB while the counts allow it. Columns
-    are pruned before any shuffle, so reducers see well under their share of the input.
+    Tasks of 128 MB of input and reducers of about 256 MB while the two limits allow it; beyond,
+    tasks get larger. Columns are pruned before any shuffle, so reducers see well under their
+    share of the input. Results do not depend on any of it.
     """
-    split = min(max(128 << 20, math.ceil(input_bytes / MAX_SCAN_TASKS)), 1 << 30)
-    reducers = min(max(cores, math.ceil(input_bytes / (256 << 20))), MAX_REDUCERS)
+    split = max(128 << 20, math.ceil(input_bytes / max_scan_tasks))
+    reducers = min(max(cores, math.ceil(input_bytes / (256 << 20))), max_reducers)
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(reducers),
     }
 
 
-def configure(builder: SparkSession.Builder, input_bytes: int | None = None) -> SparkSession.Builder:
+def configure(
+    builder: SparkSession.Builder, input_bytes: int | None = None, **limits: int
+) -> SparkSession.Builder:
+    """The settings, with task sizes for ``input_bytes``; ``limits`` are those of ``sized``."""
     settings = dict(SETTINGS)
     if input_bytes is not None:
-        settings |= sized(input_bytes)
+        settings |= sized(input_bytes, **limits)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder

@@ -153,6 +153,8 @@ def test_sizes_grow_with_the_input_up_to_what_a_driver_tracks():
     large = {k: int(v) for k, v in sized(100 << 40).items()}
     assert large["spark.sql.shuffle.partitions"] == 50_000
     assert (100 << 40) / large["spark.sql.files.maxPartitionBytes"] <= 200_000
+    assert int(sized(1 << 50)["spark.sql.files.maxPartitionBytes"]) >= (1 << 50) // 200_000
+    assert sized(1 << 40, max_reducers=100)["spark.sql.shuffle.partitions"] == "100"
 
 
 @pytest.fixture(scope="module")
