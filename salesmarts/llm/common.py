@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -71,6 +72,20 @@ def utf8(column: pa.Array) -> list[bytes]:
     return pc.fill_null(column, "").cast(pa.binary()).to_pylist()
 
 
+def importable(df: DataFrame) -> DataFrame:
+    """``df``, whose session's Python workers can from now on import this package.
+
+    They look where the driver has it, whatever folder the job was started in. Where executors
+    do not see that folder, the package is installed or sent along (``--py-files``) as usual.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = df.sparkSession.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return df
+
+
 def per_text(docs: DataFrame, scored: Callable[[pa.RecordBatch], list], schema: str) -> DataFrame:
     """``docs`` (doc_id, text, ...) with, per row, what ``scored`` gives for a block of rows.
 
@@ -87,7 +102,7 @@ def per_text(docs: DataFrame, scored: Callable[[pa.RecordBatch], list], schema:
             ]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-    return docs.mapInArrow(run, schema)
+    return importable(docs).mapInArrow(run, schema)
 
 
 _ARROW = {

@@ -168,7 +168,7 @@ def _blocked(fps: DataFrame, radius: int) -> DataFrame:
                     ["t", "key", "fp", "n"],
                 )
 
-    dealt = fps.mapInArrow(tables, "t int, key bigint, fp binary, n bigint")
+    dealt = common.importable(fps).mapInArrow(tables, "t int, key bigint, fp binary, n bigint")
     counts = dealt.groupBy("t", "key").agg(F.count("*").alias("size")).where("size > 1")
     return dealt.join(counts, ["t", "key"])
 
@@ -262,7 +262,7 @@ def document_fingerprints(
     are not read; an empty table gives no rows.
     """
     rows = common.texts_of(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
-    prints = _in_order(rows).mapInArrow(
+    prints = common.importable(_in_order(rows)).mapInArrow(
         _paired,
         "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
         "near_edited double, near_next double",

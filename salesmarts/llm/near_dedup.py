@@ -210,7 +210,7 @@ def links(fps: DataFrame, radius: int = 4, shard: int = SHARD, sample: int = SAM
         joined, root = forest(own, group.column("home").to_numpy(), radius)
         return pa.table({"a": pa.array(_signed(own[joined])), "b": pa.array(_signed(own[root]))})
 
-    dealt = fps.select("fingerprint").mapInArrow(deal, "shard int, home boolean, fp bigint")
+    dealt = common.importable(fps).select("fingerprint").mapInArrow(deal, "shard int, home boolean, fp bigint")
     return dealt.groupBy("shard").applyInArrow(search, "a bigint, b bigint")
 
 

@@ -467,4 +467,4 @@ def decoded(encodings: DataFrame, model_file: str) -> DataFrame:
             texts = [_TRANSDUCERS[key].decode(x or []) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return encodings.select("doc_id", "pieces").mapInArrow(run, "doc_id bigint, text string")
+    return common.importable(encodings).select("doc_id", "pieces").mapInArrow(run, "doc_id bigint, text string")

@@ -251,4 +251,4 @@ def of_quality(
 
     # Under plain names meanwhile: the columns' own may hold dots.
     plain_names = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
-    return plain_names.mapInArrow(kept, plain_names.schema).toDF(*docs.columns)
+    return common.importable(plain_names).mapInArrow(kept, plain_names.schema).toDF(*docs.columns)

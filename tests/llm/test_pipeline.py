@@ -102,3 +102,9 @@ def test_exact_dedup_against_its_sql(spark):
     names = [d[0] for d in result.description]
     found = llm_queries()["op6_exact_dedup"](spark, SF).select(*names).collect()
     assert sorted(map(tuple, found)) == sorted(result.fetchall())
+
+
+def test_python_workers_find_the_package_from_any_folder(spark):
+    common.importable(spark.range(1))
+    root = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
+    assert root in spark.sparkContext.environment["PYTHONPATH"].split(os.pathsep)
