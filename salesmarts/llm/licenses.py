@@ -9,6 +9,7 @@ own and are always counted.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -159,6 +160,7 @@ class Scanner:
         for k, words in enumerate(texts):
             self.automaton.add(k, words)
         self.holders = self._holders()
+        self.shortest = min([LEAST_RUN, *map(len, texts)])
 
     def _holders(self) -> list[list[tuple[int, int]]]:
         """For each state every (template, end) of its runs."""
@@ -170,6 +172,17 @@ class Scanner:
                     state = self.automaton.link[state]
         return ends
 
+    def _ending(self, state: int, size: int) -> Iterator[tuple[int, int, int]]:
+        """(template, end, words) of the longest match of every place of a template that ends here."""
+        seen = set()
+        while state > 0 and size >= self.shortest:
+            for k, end in self.holders[state]:
+                if (k, end) not in seen:
+                    seen.add((k, end))
+                    yield k, end, size
+            state = self.automaton.link[state]
+            size = self.automaton.length[state]
+
     def _runs(self, known: np.ndarray) -> list[tuple[int, int]]:
         """Stretches of licence words at least as long as the shortest phrase."""
         edges = np.flatnonzero(np.diff(np.concatenate(([0], known > 0, [0]))))
@@ -188,11 +201,13 @@ class Scanner:
             if len(run) >= LEAST_RUN - 1:
                 sizes, states = self.automaton.statistics(run)
                 for i, size in enumerate(sizes):
-                    grows = i + 1 < len(sizes) and sizes[i + 1] == size + 1
-                    for k, end in self.holders[states[i]] if not grows else ():
-                        # A statement shorter than the shortest run must be there as a whole.
-                        if size >= min(LEAST_RUN, len(self.texts[k])):
-                            matches.append((k, start + i - size + 1, end - size + 1, size))
+                    following = run[i + 1] if i + 1 < len(run) else 0
+                    for k, end, n in self._ending(states[i], size):
+                        text = self.texts[k]
+                        # Where the template itself goes on, a longer match of it ends later. A
+                        # statement shorter than the shortest run must be there as a whole.
+                        if (end + 1 == len(text) or text[end + 1] != following) and n >= min(LEAST_RUN, len(text)):
+                            matches.append((k, start + i - n + 1, end - n + 1, n))
         return Found(len(words), sorted(places), self._chained(matches))
 
     def _chained(self, matches: list[tuple[int, int, int, int]]) -> list[tuple[int, int, str, float]]:

@@ -68,3 +68,31 @@ def test_rows(odd, clashing, nothing):
         assert len(rows) == len(odd_rows()) and all(0 <= r.score <= 1 for r in rows)
         assert all(r.labels == "" and r.first_word is None for r in rows)
     assert license_scan(nothing).collect() == []
+
+
+def test_a_whole_statement_is_kept_where_another_template_goes_on():
+    scanner = Scanner()
+    found = scanner.scan(b"Licensed under the Apache License, Version 2.0. The project is here").spans
+    assert found == [(0, 7, "apache-statement", 1.0)]
+    notice = scanner.scan(TEMPLATES["apache-notice"].encode()).spans
+    assert {s[2] for s in notice} == {"apache-statement", "apache-notice"}
+
+
+def test_every_templates_maximal_matches_by_brute_force(monkeypatch):
+    monkeypatch.setattr(licenses, "LEAST_RUN", 2)
+    monkeypatch.setattr(Scanner, "_chained", lambda self, matches: sorted(matches))
+    rnd = random.Random(4)
+    for _ in range(100):
+        known = {str(k): " ".join(rnd.choices("abc", k=rnd.randint(2, 9))) for k in range(3)}
+        text = rnd.choices("abcd", k=14)
+        want = []
+        for k, t in enumerate(known.values()):
+            t = t.split()
+            for i in range(len(text)):
+                for j in range(len(t)):
+                    n = 0
+                    while i + n < len(text) and j + n < len(t) and text[i + n] == t[j + n]:
+                        n += 1
+                    if n >= 2 and (i == 0 or j == 0 or text[i - 1] != t[j - 1]):
+                        want.append((k, i, j, n))
+        assert Scanner(known, {}).scan(" ".join(text).encode()).spans == sorted(want)
