@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from salesmarts.llm import common, exact_dedup, mixing, near_texts, pieces, quality
+from salesmarts.llm import common, exact_dedup, mixing, near_dedup, pieces, quality
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -27,8 +27,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, Jaccard 0.8 or more."""
-    return near_texts.one_per_near_copies(docs)
+    """One document of each group whose fingerprints of four-word shingles are linked at 4 bits."""
+    return near_dedup.one_per_component(docs, radius=4, words=4)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
