@@ -38,6 +38,14 @@ def column(df: DataFrame, name: str) -> Column:
     return df["`" + name.replace("`", "``") + "`"]
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def texts_of(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
     """Only id and text, under fixed names, so that other columns can have any name."""
     return docs.select(

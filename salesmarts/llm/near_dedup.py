@@ -249,5 +249,6 @@ def one_per_component(docs: DataFrame, radius: int = 4, words: int = 4) -> DataF
     an id too.
     """
     found = near_duplicates(docs, radius, words)
-    dropped = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, common.column(docs, "doc_id") == F.col("_dropped"), "left_anti")
+    name = common.unused(docs, "dropped")
+    dropped = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(dropped, common.column(docs, "doc_id") == F.col(name), "left_anti")

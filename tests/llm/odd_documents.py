@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Columns whose names clash with those of results and of intermediate tables.
 CLASHING = (
-    "fingerprint", "kept", "score", "digest", "row", "row_no", "size", "bucket", "label", "mark", "held_out", "taken", "a.b",
+    "fingerprint", "kept", "score", "digest", "row", "row_no", "size", "bucket", "label", "mark", "held_out", "taken", "a.b", "_dropped", "dropped", "component_id",
 )
 
 
