@@ -4,7 +4,9 @@ A word of L code points has two disjoint chunks of L // 2: its beginning and its
 leaves one of them whole. Of two words one edit apart the longer one gives its chunks and the
 other its positional grams; a kept chunk stands in the other word at the same place, or at one
 place less where a code point before it is gone. Grams further than that shift from a chunk's
-place can meet none and are left out before anything is exchanged. What meets is verified.
+place can meet none and are left out before anything is exchanged. What is left of both words
+beside a kept chunk is one edit apart again and has two chunks of its own, so a key holds a
+chunk and one of the rest. What meets is verified.
 """
 
 from __future__ import annotations
@@ -69,35 +71,50 @@ def words_of(docs: DataFrame, least_length: int = LEAST_LENGTH, least_count: int
 # Pairs
 
 
-def _chunk(word: Column, at: Column, size: Column) -> Column:
+def _part(word: Column, at: Column, size: Column) -> Column:
     return F.substr(word, at + 1, size)
 
 
+def _half(length: Column) -> Column:
+    return F.call_function("div", length, F.lit(2)).cast("int")
+
+
+def _keys(longer: int) -> Column:
+    """The keys of ``word`` as part of a pair whose longer word has ``longer`` code points more.
+
+    A key is the longer word's length, which of its chunks are kept, and their texts: a chunk
+    of the whole word and one of what is left beside it.
+    """
+    length = F.char_length("word") + longer
+    size = _half(length)
+    rest = length - size
+    inner = _half(rest)
+    keys = []
+    for k, kept, left in ((0, F.lit(0), size), (1, rest - longer, F.lit(0))):
+        for j, at in ((0, left), (1, left + rest - inner - longer)):
+            keys.append(F.struct(
+                length.alias("length"), F.lit(2 * k + j).alias("kept"),
+                _part(F.col("word"), kept, size).alias("chunk"), _part(F.col("word"), at, inner).alias("inner"),
+            ))
+    return F.array(*keys)
+
+
 def chunks(words: DataFrame) -> DataFrame:
-    """key (length, which chunk, its text), word: the beginning and the end of every word."""
-    length, size = F.char_length("word"), F.call_function("div", F.char_length("word"), F.lit(2)).cast("int")
-    key = lambda k, at: F.struct(length.alias("length"), F.lit(k).alias("k"), _chunk(F.col("word"), at, size).alias("part"))
-    places = F.array(key(0, F.lit(0)), key(1, length - size))
-    return words.select(F.explode(places).alias("key"), "word").select("key.*", "word")
+    """key (length, kept, chunk, inner) and word: every word with its own chunks."""
+    return words.select(F.explode(_keys(0)).alias("key"), "word").select("key.*", "word")
 
 
 def grams(words: DataFrame) -> DataFrame:
-    """The same key, word: a word's grams where a chunk can stand that it shares with a word of
-    its own length, or of one code point more."""
-    places = []
-    for longer in (0, 1):
-        length = F.char_length("word") + longer
-        size = F.call_function("div", length, F.lit(2)).cast("int")
-        for k, at in enumerate((F.lit(0), length - size - longer)):
-            part = _chunk(F.col("word"), at, size)
-            places.append(F.struct(length.alias("length"), F.lit(k).alias("k"), part.alias("part")))
-    return words.select(F.explode(F.array(*places)).alias("key"), "word").select("key.*", "word")
+    """The same key and word: a word's grams where the chunks can stand that it shares with a
+    word of its own length, or of one code point more."""
+    both = F.concat(_keys(0), _keys(1))
+    return words.select(F.explode(both).alias("key"), "word").select("key.*", "word")
 
 
 def near_pairs(words: DataFrame, slice_rows: int = SLICE) -> DataFrame:
     """a, b: every two of the distinct ``word`` values that differ by exactly one code point
     inserted, deleted or replaced, once. Keys with many grams are dealt out in slices."""
-    key = ["length", "k", "part"]
+    key = ["length", "kept", "chunk", "inner"]
     there = grams(words)
     large = there.groupBy(*key).count().where(F.col("count") > slice_rows)
     large = common.written(
@@ -110,14 +127,18 @@ def near_pairs(words: DataFrame, slice_rows: int = SLICE) -> DataFrame:
     own = chunks(words).join(large, key, "left").select(
         *key, F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"), F.col("word").alias("a")
     )
-    # Of words of one length each pair is taken in one direction, and where both of a word's
-    # chunks are kept, the pair is taken at its beginning.
-    size = F.call_function("div", F.col("length"), F.lit(2)).cast("int")
-    both = _chunk(F.col("a"), F.lit(0), size) == _chunk(F.col("b"), F.lit(0), size)
+    # Words of one length meet in both directions, and by each of the chunks they share: a pair
+    # is taken in one direction, by the first of them.
+    size = _half(F.col("length"))
+    rest = F.col("length") - size
+    longer = F.col("length") - F.char_length("b")
+    at = F.when(F.col("kept") < 2, size).otherwise(0)
+    first_chunk = _part(F.col("a"), F.lit(0), size) == _part(F.col("b"), F.lit(0), size)
+    first_inner = _part(F.col("a"), at, _half(rest)) == _part(F.col("b"), at, _half(rest))
     met = own.join(there.hint("merge"), [*key, "slice"])
-    met = met.where((F.char_length("a") > F.char_length("b")) | (F.col("a") < F.col("b")))
-    met = met.where((F.col("k") == 0) | ~both)
-    return met.where(F.levenshtein("a", "b", 1) == 1).select("a", "b")
+    met = met.where((longer > 0) | (F.col("a") < F.col("b")))
+    met = met.where(F.levenshtein("a", "b", 1) == 1)
+    return met.where(((F.col("kept") < 2) | ~first_chunk) & ((F.col("kept") % 2 == 0) | ~first_inner)).select("a", "b")
 
 
 # Forms
