@@ -27,14 +27,18 @@ from salesmarts.llm import common
 GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 128 << 10, 2000
 #: Text that a part is to hold, estimated from rows; beyond ``MOST_PARTS`` parts get larger.
 PART_ROWS, MOST_PARTS = 8192, 50_000
-#: Chunks whose ids are kept for later texts; beyond, the memo starts afresh.
-MEMO_CHUNKS = 400_000
+#: Chunks, and words in them, whose ids are kept for later texts; beyond, a memo starts afresh.
+MEMO_CHUNKS = 500_000
 #: Bytes of text in one entry of an encoding batch.
-SEGMENT_BYTES = 32 << 10
+SEGMENT_BYTES = 2 << 10
 
 # The settings of word tokenizers whose tokens never reach over a space.
 _NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 _CUT = re.compile("[ \n]")
+# One word of the splitting pattern, whatever stands beside it after a space.
+_LETTERS = re.compile("[a-z\u00e0-\u00f6\u00f8-\u00ff]+")
+# A letter or digit and a stop after it are never in one token.
+_STOP = re.compile("(?<=[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])[.,;:!?]")
 
 
 class Encoder:
@@ -67,39 +71,66 @@ class Encoder:
         )
         self.added = [x["content"] for x in added]
         self.mark, self.mark_id = (added[0]["content"], added[0]["id"]) if added else ("", -1)
-        self.known: dict[str, bytes] = {"": b""}
+        self.cuttable = self.cuttable and all("<" in a for a in self.added)
+        suffix = config["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool) if suffix else None
+        if suffix:
+            self.ends[[k for t, k in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith(suffix)]] = True
+        self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {"": b""}
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4") for e in found]
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Ids of chunks: joined by a mark that stands for itself, cut apart again by its id."""
-        held = [c for c in chunks if any(a in c for a in self.added)]
-        self.known.update(zip(held, (x.tobytes() for x in self._encode(held)), strict=True))
+    def _learn(self, words: list[str]) -> None:
+        """Ids of words, encoded joined and cut apart again: words of letters only by the ids that
+        end a word, others by those of a mark between them."""
+        lettered = [w for w in words if _LETTERS.fullmatch(w)] if self.ends is not None else []
+        others = sorted(set(words).difference(lettered))
+        held = [w for w in others if any(a in w for a in self.added)]
+        self.words.update(zip(held, (x.tobytes() for x in self._encode(held)), strict=True))
+        for part, ids in self._joined(lettered, " "):
+            self._cut(part, ids, np.flatnonzero(self.ends[ids]) + 1, 0)
+        for part, ids in self._joined([w for w in others if w not in self.words], self.mark):
+            self._cut(part, ids, np.append(np.flatnonzero(ids == self.mark_id), len(ids)), 1)
+
+    def _joined(self, words: list[str], by: str) -> Iterator[tuple[list[str], np.ndarray]]:
+        """Segments of words with the ids of the words joined."""
         parts, size = [[]], 0
-        for chunk in chunks:
-            if chunk not in self.known:
-                if size > SEGMENT_BYTES:
-                    parts.append([])
-                    size = 0
-                parts[-1].append(chunk)
-                size += len(chunk.encode()) + 1
+        for word in words:
+            if size > SEGMENT_BYTES:
+                parts.append([])
+                size = 0
+            parts[-1].append(word)
+            size += len(word.encode()) + 1
         parts = [p for p in parts if p]
-        for part, ids in zip(parts, self._encode([self.mark.join(p) for p in parts]), strict=True):
-            ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids)).tolist()
-            starts = [0, *(e + 1 for e in ends[:-1])]
-            self.known.update((c, ids[s:e].tobytes()) for c, s, e in zip(part, starts, ends, strict=True))
+        yield from zip(parts, self._encode([by.join(p) for p in parts]), strict=True)
+
+    def _cut(self, part: list[str], ids: np.ndarray, ends: np.ndarray, skipped: int) -> None:
+        starts = [0, *(ends[:-1] + skipped).tolist()]
+        raw = ids.tobytes()
+        self.words.update((w, raw[4 * s : 4 * e]) for w, s, e in zip(part, starts, ends.tolist(), strict=True))
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The texts' ids as little-endian unsigned 32-bit integers."""
         if not self.cuttable:
             return [x.tobytes() for x in self._encode(texts)]
         cut = [_CUT.split(t) for t in texts]
-        if len(self.known) > MEMO_CHUNKS:
-            self.known = {"": b""}
-        self._learn(list(set().union(*cut) - self.known.keys()))
-        of = self.known.__getitem__
+        if len(self.chunks) > MEMO_CHUNKS:
+            self.chunks = {}
+        if len(self.words) > MEMO_CHUNKS:
+            self.words = {"": b""}
+        new = {}
+        for chunk in set().union(*cut) - self.chunks.keys():
+            # ASCII letters are lower-cased by the tokenizer itself; a special string is left as it is.
+            word = chunk.lower() if chunk.isascii() and "<" not in chunk else chunk
+            stop = word[-1:] if _STOP.match(word, len(word) - 1) else ""
+            new[chunk] = (word[: len(word) - len(stop)], stop)
+        self._learn(list({w for pair in new.values() for w in pair} - self.words.keys()))
+        words = self.words
+        self.chunks.update((c, words[w] + words[stop]) for c, (w, stop) in new.items())
+        of = self.chunks.__getitem__
         return [b"".join(map(of, c)) for c in cut]
 
 
