@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmarts.llm import common, exact_dedup, fingerprints, language, licenses, mixing, near_dedup, pieces, quality, token_counts, toxicity
+from salesmarts.llm import (
+    common, exact_dedup, fingerprints, language, licenses, mixing, near_dedup, pieces, quality, spelling, token_counts,
+    token_files, toxicity,
+)
+from salesmarts.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +68,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(common.table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(common.table(spark, sf_dir, "documents"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents written as files; place, number and digest are read from them."""
+    path = scratch_path(spark, "token-files")
+    docs = common.table(spark, sf_dir, "documents")
+    token_files.write_token_files(docs, path, _path("word_bpe_49k.json"), end_id=1)
+    return token_files.checked(spark, path)
+
+
 OP6_SQL = r"""
 WITH normal AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
@@ -74,6 +90,54 @@ FROM normal
 """
 
 
+# The CRC-32 goes bit by bit over the hexadecimal bytes. Two words of one length are near if they
+# agree but for one place; of two others the shorter one is the longer one without a code point.
+OP11_SQL = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+), counted AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY doc_id, run),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(
+             range(8 * strlen(coalesce(doc_id::VARCHAR, '') || ':' || run)),
+             lambda i: (('0x' || substr(hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)), (2 * (i // 8) + 1)::BIGINT, 2))::BIGINT
+                        >> (i % 8)) & 1)),
+           lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)))) AS h
+  FROM counted
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2)
+                   ELSE run END AS word
+    FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION ALL
+  SELECT DISTINCT c.word, w.word, w.n FROM cut c JOIN words w ON c.rest = w.word
+  UNION ALL
+  SELECT DISTINCT w.word, c.word, c.n FROM cut c JOIN words w ON c.rest = w.word
+), best AS (
+  SELECT word, count(*) AS n_near, min(other) FILTER (other_n = most) AS other, any_value(most) AS other_n
+  FROM (SELECT *, max(other_n) OVER (PARTITION BY word) AS most FROM near) GROUP BY word
+), formed AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.other_n >= 2 * w.n THEN b.other END AS form,
+         CASE WHEN b.other_n >= 2 * w.n THEN b.other_n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word
+), walk AS (
+  SELECT word, word AS at, form AS next FROM formed
+  UNION ALL
+  SELECT walk.word, formed.word, formed.form FROM walk JOIN formed ON walk.next = formed.word
+)
+SELECT f.word, f.form, walk.at AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN walk ON f.word = walk.word AND walk.next IS NULL
+"""
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_fingerprints": op1_fingerprints,
@@ -86,8 +150,10 @@ def llm_queries() -> dict[str, Query]:
         "op8_quality": op8_quality,
         "op9_token_counts": op9_token_counts,
         "op10_mixing": op10_mixing,
+        "op11_spelling": op11_spelling,
+        "op12_token_files": op12_token_files,
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op6_exact_dedup": OP6_SQL}
+    return {"op6_exact_dedup": OP6_SQL, "op11_spelling": OP11_SQL}
