@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmarts.llm import (
-    common, exact_dedup, fingerprints, language, licenses, mixing, near_dedup, pieces, quality, spelling, token_counts,
+    collocations, common, exact_dedup, fingerprints, language, licenses, mixing, near_dedup, pieces, quality, spelling, token_counts,
     token_files, toxicity,
 )
 from salesmarts.session import scratch_path
@@ -80,6 +80,10 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checked(spark, path)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(common.table(spark, sf_dir, "documents"))
+
+
 OP6_SQL = r"""
 WITH normal AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
@@ -138,6 +142,41 @@ FROM formed f JOIN walk ON f.word = walk.word AND walk.next IS NULL
 """
 
 
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+), worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+grams AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+  FROM placed, (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(w)
+), counts AS (SELECT lang, phrase, k, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, phrase, k AS size, string_split(phrase, ' ') AS w, f AS a FROM counts WHERE k >= 2 AND f >= 100),
+covered AS (
+  SELECT DISTINCT c.lang, c.phrase
+  FROM (SELECT lang, w, size, a, unnest(range(1, size)) AS inner_size FROM candidates WHERE size > 2) AS long,
+       (SELECT unnest(range(1, 5)) AS start) AS s, candidates c
+  WHERE inner_size >= 2 AND start + inner_size - 1 <= long.size AND c.lang = long.lang
+    AND c.phrase = array_to_string(long.w[start : start + inner_size - 1], ' ') AND 100 * long.a >= 100 * c.a
+), cuts AS (
+  SELECT lang, phrase, a, size, w, unnest(range(1, size)) AS k FROM candidates
+  WHERE (lang, phrase) NOT IN (SELECT (lang, phrase) FROM covered)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, n, (1000::HUGEINT * c.a * n // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN totals USING (lang)
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : c.k], ' ') AND x.k = c.k
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1 :], ' ') AND y.k = c.size - c.k
+), lowest AS (
+  SELECT * EXCLUDE (k) FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM lowest QUALIFY rank <= 2000
+"""
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_fingerprints": op1_fingerprints,
@@ -152,8 +191,9 @@ def llm_queries() -> dict[str, Query]:
         "op10_mixing": op10_mixing,
         "op11_spelling": op11_spelling,
         "op12_token_files": op12_token_files,
+        "op13_collocations": op13_collocations,
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op6_exact_dedup": OP6_SQL, "op11_spelling": OP11_SQL}
+    return {"op6_exact_dedup": OP6_SQL, "op11_spelling": OP11_SQL, "op13_collocations": OP13_SQL}
