@@ -77,6 +77,7 @@ _STEPS = {
         LEFT JOIN categories c ON p.category_id = c.category_id
         LEFT JOIN supplier s ON p.supplier_id = s.s_suppkey
         LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey""",
+    "shippers": "SELECT DISTINCT o_orderpriority FROM orders",
     "priced": """
         SELECT l_orderkey AS order_id, l_partkey AS product_id,
                cast((2 * cast(cast(l_extendedprice AS decimal(14,2)) * 100 AS bigint)
@@ -189,6 +190,8 @@ def _share(step: str, rest: str, value: str = "total_revenue") -> str:
 
 
 _COUNTED = {
+    "bronze_shippers": "shippers",
+    "bronze_region_lookup": "lookup",
     "bronze_customers": "customer",
     "bronze_employees": "supplier",
     "bronze_orders": "orders",
@@ -246,6 +249,38 @@ _FEED = {
 }
 _FRACTIONS = ("total_revenue", "monetary_total", "avg_order_value", "churn_rate_pct")
 
+
+
+def _feed() -> str:
+    """Every field of the six marts as a row."""
+    return " UNION ALL ".join(
+        f"SELECT '{mart}' AS mart, cast({key} AS varchar) AS row_key, '{column}' AS field, "
+        f"cast({'cast(round(' + column + ' * 100) AS hugeint)' if column in _FRACTIONS else column} AS varchar)"
+        f" AS value FROM {step}"
+        for mart, (step, key, columns) in _FEED.items()
+        for column in columns.split()
+    )
+
+
+def _extremes() -> list[str]:
+    """Rows, nulls, least and greatest value of every column of the fact."""
+    out = []
+    for column in _FACT_COLUMNS.split():
+        value = f"cast(round({column} * 100) AS hugeint)" if column in ("unit_price", "discount", "line_revenue") else column
+        for field, figure in (
+            ("rows", "count(*)"), ("nulls", f"count(*) - count({column})"), ("least", f"min({value})"), ("greatest", f"max({value})"),
+        ):
+            out.append(
+                f"SELECT 'sales_fact' AS mart, '{column}' AS row_key, '{field}' AS field, cast({figure} AS varchar) AS value FROM fact "
+            )
+    return out
+
+
+_FACT_COLUMNS = (
+    "order_id order_date shipped_date region customer_id company_name country employee_id first_name last_name "
+    "product_id product_name category_name quantity unit_price discount line_revenue"
+)
+
 _FINAL = {
     "scan_csv": _ACTIVITY_EXPORT,
     "null_tokens": """
@@ -344,13 +379,7 @@ _FINAL = {
                customer_segment
         FROM churn WHERE customer_segment = 'At Risk'""",
     "export_csv": "SELECT * FROM churn",
-    "export_json": " UNION ALL ".join(
-        f"SELECT '{mart}' AS mart, cast({key} AS varchar) AS row_key, '{column}' AS field, "
-        f"cast({'cast(round(' + column + ' * 100) AS hugeint)' if column in _FRACTIONS else column} AS varchar)"
-        f" AS value FROM {step}"
-        for mart, (step, key, columns) in _FEED.items()
-        for column in columns.split()
-    ),
+    "export_json": _feed(),
     "gzip_scan": """
         SELECT s_suppkey AS "SupplierID", s_name AS "CompanyName", n_name AS "Country"
         FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey""",
@@ -361,8 +390,21 @@ _FINAL = {
                CASE WHEN s_suppkey % 2 = 0 THEN 'first' ELSE 'second' END AS "_source_system"
         FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey""",
     "raw_json_view": """
-        SELECT p_partkey AS product_id, p_name AS product_name, p_retailprice AS unit_price FROM part""",
-    "gold_run": "SELECT * FROM churn",
+        SELECT p_partkey AS "ProductID", p_name AS "ProductName",
+               cast(split_part(p_brand, '#', 2) AS bigint) AS "CategoryID", s.supplier_id AS "SupplierID",
+               p_retailprice AS "UnitPrice", 'object_store' AS "_source_system"
+        FROM part LEFT JOIN source s ON p_partkey = s.l_partkey""",
+    "ledger_load": """
+        SELECT s_suppkey AS supplier_id, s_name AS supplier_name, n_name AS supplier_country,
+               'object_store' AS "_source_system", cast(0 AS bigint) AS rows_again,
+               (SELECT count(*) FROM supplier WHERE s_suppkey % 2 = 1) AS rows_added
+        FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey""",
+    "rejected_records": """
+        SELECT CASE WHEN good THEN c_custkey END AS customer_id, CASE WHEN good THEN c_name END AS company_name,
+               CASE WHEN c_custkey % 7 = 0 THEN 'no.' || c_custkey || ',' || c_name
+                    WHEN NOT good THEN c_custkey || ',' || c_name || ',too,many' END AS record
+        FROM (SELECT *, c_custkey % 7 <> 0 AND c_custkey % 11 <> 0 AS good FROM customer)""",
+    "gold_run": " UNION ALL ".join([_feed(), *_extremes()]),
     "layer_row_counts": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {step}"
         for name, step in _COUNTED.items()

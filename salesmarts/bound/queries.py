@@ -2,21 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesmarts.bound.tables import BoundTables
 from salesmarts.functions.numeric import published
 from salesmarts.operators import audit, churn, conform, dedup, fact, kpis, sales
 from salesmarts.operators.ordering import ordered
 from salesmarts.plans.config import PipelineConfig
-from salesmarts.plans.pipeline import run_pipeline
+from salesmarts.plans.pipeline import EXPORTED, Source, run_pipeline, stored_tables
 from salesmarts.session import scratch_path
 from salesmarts.sinks.exports import export_csv, export_json
-from salesmarts.sinks.tables import ensure_schema, load_table, publish_view, replace_table
+from salesmarts.sinks.tables import (
+    drop_schema,
+    ensure_schema,
+    load_table,
+    publish_json_view,
+    replace_table,
+    table_location,
+    version_folder,
+)
 from salesmarts.sources.files import (
     json_fields,
     json_object_rows,
@@ -25,6 +36,8 @@ from salesmarts.sources.files import (
     read_raw_json,
 )
 from salesmarts.sources.lineage import with_lineage
+from salesmarts.sources.loads import listed_files, load_checked, load_new_files
+from salesmarts.sources.schemas import JSON_FIELDS
 
 Query = Callable[[SparkSession, str], DataFrame]
 Build = Callable[[BoundTables], DataFrame]
@@ -368,19 +381,24 @@ def exported_feed(t: BoundTables) -> DataFrame:
     read_back = []
     for name, mart in marts.items():
         back = published(read_json_records(t.spark, f"{path}/{name}", mart.schema, multi_line=False))
-        fields = [
-            F.struct(
-                F.lit(column).alias("field"),
-                (F.round(F.col(column) * 100).cast("decimal(30,0)") if kind == "double" else F.col(column))
-                .cast("string").alias("value"),
-            )
-            for column, kind in back.dtypes
-        ]
-        key = F.col(_KEYS[name]).cast("string").alias("row_key")
-        read_back.append(back.select(F.lit(name).alias("mart"), key, F.inline(F.array(*fields))))
+        read_back.append(_fields(name, back))
     return reduce(DataFrame.unionByName, read_back)
 
 
+def _fields(name: str, mart: DataFrame) -> DataFrame:
+    """Every field of a mart as a row: mart, row_key, field, value; fractions in hundredths."""
+    fields = [
+        F.struct(
+            F.lit(column).alias("field"),
+            (F.round(F.col(column) * 100).cast("decimal(30,0)") if kind == "double" else F.col(column))
+            .cast("string").alias("value"),
+        )
+        for column, kind in mart.dtypes
+    ]
+    key = F.col(_KEYS[name]).cast("string").alias("row_key")
+    return mart.select(F.lit(name).alias("mart"), key, F.inline(F.array(*fields)))
+
+
 _KEYS = {
     "sales_monthly": "year_month",
     "sales_by_category": "category_name",
@@ -393,51 +411,35 @@ _KEYS = {
 
 @_query("layer_row_counts")
 def layer_row_counts(t: BoundTables) -> DataFrame:
-    """Rows of every raw table, silver table and gold mart, without storing any of them.
+    """Rows of the ten raw, six conformed and seven mart tables of a stored run, from file footers.
 
-    A count uses no column of a dimension, so Catalyst drops the joins that only add some.
+    The run is stored once per application and input; tables that are whole are not written again.
     """
-    bronze = {
-        "bronze_customers": t.customers(),
-        "bronze_employees": t.employees(),
-        "bronze_orders": t.orders(),
-        "bronze_orderdetails": t.order_details(),
-        "bronze_products": t.products(),
-        "bronze_categories": t.categories(),
-        "bronze_suppliers": t.suppliers(),
-        "bronze_customer_activity_export": t.activity_export(),
-    }
-    silver = {
-        "silver_customers": t.silver_customers(),
-        "silver_employees": t.silver_employees(),
-        "silver_orders": t.silver_orders(),
-        "silver_products": t.silver_products(),
-        "silver_order_details": t.silver_order_details(),
-        "silver_customer_activity": t.silver_customer_activity(),
-    }
-    orders, products = _order_sales(t, region=True), _product_sales(t)
-    customers = _churn(t, orders=orders)
-    gold = {
-        "sales_fact": _fact(t, split_hot=False),
-        "sales_monthly": sales.sales_monthly(orders),
-        "sales_by_category": sales.sales_by_category(products),
-        "sales_by_region": sales.sales_by_region(orders),
-        "top_products": sales.top_products(products),
-        "customer_churn": customers,
-        "churn_summary": churn.churn_summary(customers),
-    }
-    return audit.layer_row_counts(bronze | silver | {f"gold_{name}": df for name, df in gold.items()})
+    files = sorted(map(str, listed_files(t.spark, f"{t.sf_dir}/*.parquet").collect()))
+    name = hashlib.sha256("".join(files).encode()).hexdigest()[:16]
+    cfg = _run_config(t, scratch_path(t.spark, "").rpartition("/")[0] + f"/run-{name}", name, run_id=name)
+    run_pipeline(t.spark, cfg, _database(t), _object_store(t))
+    return audit.stored_row_counts(t.spark, stored_tables(t.spark, cfg))
 
 
 # Stored tables and the run
 
 
-def _schema(t: BoundTables) -> str:
-    """A schema of its own, its tables in the scratch folder."""
+@contextmanager
+def _schema(t: BoundTables) -> Iterator[str]:
+    """A schema of its own, its tables in the scratch folder, that is dropped afterwards."""
     path = scratch_path(t.spark, "tables")
     name = f"q_{path.rpartition('-')[2]}"
     ensure_schema(t.spark, name, path)
-    return name
+    try:
+        yield name
+    finally:
+        drop_schema(t.spark, name)
+
+
+def _rows_of(t: BoundTables, table: str) -> DataFrame:
+    """The rows of a table's present version, which stay when its name is dropped."""
+    return t.spark.read.schema(t.spark.table(table).schema).parquet(table_location(t.spark, table))
 
 
 @_query("gzip_scan")
@@ -452,55 +454,149 @@ def gzip_scan(t: BoundTables) -> DataFrame:
 @_query("replaced_table")
 def replaced_table(t: BoundTables) -> DataFrame:
     """A table written twice under one name, with the number of rows counted while writing."""
-    table = f"{_schema(t)}.people"
-    replace_table(t.silver_employees(), table)
-    written = replace_table(t.silver_customers(), table)
-    return t.spark.table(table).withColumn("rows_written", F.lit(written).cast("bigint"))
+    with _schema(t) as schema:
+        table = f"{schema}.people"
+        replace_table(t.silver_employees(), table)
+        written = replace_table(t.silver_customers(), table)
+        return _rows_of(t, table).withColumn("rows_written", F.lit(written).cast("bigint"))
+
+
+_SUPPLIER_NAMES = {"SupplierID": "supplier_id", "CompanyName": "supplier_name", "Country": "supplier_country"}
 
 
 @_query("appended_load")
 def appended_load(t: BoundTables) -> DataFrame:
     """Suppliers loaded in two parts, renamed and with lineage; the time of landing left out."""
-    table = f"{_schema(t)}.suppliers"
-    names = {"SupplierID": "supplier_id", "CompanyName": "supplier_name", "Country": "supplier_country"}
     even = F.col("SupplierID") % 2 == 0
-    load_table(t.suppliers().where(even), table, names, source_system="first")
-    load_table(t.suppliers().where(~even), table, names, mode="append", source_system="second")
-    return t.spark.table(table).drop("_ingest_ts")
+    with _schema(t) as schema:
+        table = f"{schema}.suppliers"
+        load_table(t.suppliers().where(even), table, _SUPPLIER_NAMES, source_system="first")
+        load_table(t.suppliers().where(~even), table, _SUPPLIER_NAMES, mode="append", source_system="second")
+        return _rows_of(t, table).drop("_ingest_ts")
+
+
+@_query("ledger_load")
+def ledger_load(t: BoundTables) -> DataFrame:
+    """Suppliers loaded from a folder three times: at first, again, and when files were added.
+
+    Rows carry the number of rows that the second and the third load added.
+    """
+    path = scratch_path(t.spark, "landing")
+    even = F.col("SupplierID") % 2 == 0
+    columns = "SupplierID BIGINT, CompanyName STRING, Country STRING"
+
+    def read(files: list[str]) -> DataFrame:
+        return read_csv(t.spark, files, columns)
+
+    def land(rows: DataFrame) -> None:
+        rows.write.mode("append").option("header", True).csv(path)
+
+    with _schema(t) as schema:
+        table = f"{schema}.suppliers"
+
+        def load() -> int:
+            return load_new_files(t.spark, f"{path}/*.csv", table, read, "object_store", _SUPPLIER_NAMES)
+
+        land(t.suppliers().where(even))
+        load()
+        again = load()
+        land(t.suppliers().where(~even))
+        added = load()
+        names = list(_SUPPLIER_NAMES.values())
+        folder = version_folder(t.spark, table)
+        rows = t.spark.read.schema(t.spark.table(table).select(*names, "_source_system").schema).parquet(folder).drop("_load_id")
+    return rows.withColumns({"rows_again": F.lit(again).cast("bigint"), "rows_added": F.lit(added).cast("bigint")})
+
+
+@_query("rejected_records")
+def rejected_records(t: BoundTables) -> DataFrame:
+    """Customers from CSV lines some of which do not parse: what is loaded, and what is rejected."""
+    key = F.col("c_custkey")
+    line = (
+        F.when(key % 7 == 0, F.concat(F.lit("no."), key, F.lit(","), F.col("c_name")))
+        .when(key % 11 == 0, F.concat(key, F.lit(","), F.col("c_name"), F.lit(",too,many")))
+        .otherwise(F.concat(key, F.lit(","), F.col("c_name")))
+    )
+    path = scratch_path(t.spark, "lines")
+    t.read("customer").select(line.alias("value")).write.text(path)
+    with _schema(t) as schema:
+        load_checked(
+            t.spark, path, f"{schema}.customers", "customer_id BIGINT, company_name STRING", f"{schema}.rejects",
+            limit=1 << 62, header=False,
+        )
+        good = _rows_of(t, f"{schema}.customers").withColumn("record", F.lit(None).cast("string"))
+        bad = _rows_of(t, f"{schema}.rejects")
+        nothing = {"customer_id": F.lit(None).cast("bigint"), "company_name": F.lit(None).cast("string")}
+        return good.unionByName(bad.withColumns(nothing).select("customer_id", "company_name", "record"))
+
+
+def _raw_products(t: BoundTables) -> DataFrame:
+    """Products as variants, from JSON files of an array of records per line."""
+    path = scratch_path(t.spark, "raw")
+    record = F.struct("ProductID", "ProductName", "CategoryID", "SupplierID", "UnitPrice")
+    t.products().select(F.to_json(F.array(record)).alias("value")).write.text(path)
+    return read_raw_json(t.spark, path, whole_files=False)
 
 
 @_query("raw_json_view")
 def raw_json_view(t: BoundTables) -> DataFrame:
-    """Raw records as variants behind a view, and typed columns taken from the view."""
-    path = scratch_path(t.spark, "raw")
-    records = F.array(F.struct("ProductID", "ProductName", "UnitPrice"))
-    t.products(supplier=False).select(F.to_json(records).alias("value")).write.text(path)
-    name = f"raw_{path.rpartition('-')[2]}"
-    publish_view(read_raw_json(t.spark, path, whole_files=False), name)
-    fields = {
-        "product_id": ("$.ProductID", "bigint"),
-        "product_name": ("$.ProductName", "string"),
-        "unit_price": ("$.UnitPrice", "double"),
-    }
-    return json_fields(t.spark.table(name), "raw_json", fields)
+    """Raw records stored as variants with lineage, read through a view of the catalogue that
+    types their fields; the time of landing left out."""
+    with _schema(t) as schema:
+        table, view = f"{schema}.products_raw", f"{schema}.products"
+        load_table(_raw_products(t), table, source_system="object_store")
+        publish_json_view(t.spark, view, table, "raw_json", JSON_FIELDS["products"], ["_ingest_ts", "_source_system"])
+        return t.spark.table(view).drop("_ingest_ts")
 
 
-@_query("gold_run")
-def gold_run(t: BoundTables) -> DataFrame:
-    """The whole run over the bound tables; of its marts the churn table is read back."""
-    path = scratch_path(t.spark, "run")
-    tag = path.rpartition("-")[2]
-    cfg = PipelineConfig(
+def _run_config(t: BoundTables, path: str, tag: str, **more) -> PipelineConfig:
+    return PipelineConfig(
         bronze_schema=f"bronze_{tag}", silver_schema=f"silver_{tag}", gold_schema=f"gold_{tag}",
-        location=path, ref_date=t.spark.range(1).select(t.reference_day()).first()[0],
+        location=path, ref_date=t.spark.range(1).select(t.reference_day()).first()[0], **more,
     )
-    database = {
-        "customers": t.customers(), "employees": t.employees(), "orders": t.orders(),
-        "orderdetails": t.order_details(),
+
+
+def _database(t: BoundTables) -> dict[str, Source]:
+    return {
+        "customers": t.customers, "employees": t.employees, "shippers": t.shippers, "orders": t.orders,
+        "orderdetails": t.order_details,
     }
-    object_store = {
-        "categories": t.categories(), "suppliers": t.suppliers(), "products": t.products(),
-        "region_lookup": t.region_lookup(), "customer_activity_export": t.activity_export(),
+
+
+def _object_store(t: BoundTables) -> dict[str, Source]:
+    return {
+        "categories": t.categories, "suppliers": t.suppliers, "products": lambda: _raw_products(t),
+        "region_lookup": t.region_lookup, "customer_activity_export": t.activity_export,
     }
-    run_pipeline(t.spark, cfg, database, object_store)
-    return t.spark.table(cfg.table("gold", "customer_churn"))
+
+
+def _extremes(df: DataFrame) -> DataFrame:
+    """Per column of ``df``: rows, nulls, least and greatest value, as text."""
+    figures = []
+    for f in df.schema.fields:
+        exact = F.round(F.col(f.name) * 100).cast("decimal(30,0)") if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+        values = {
+            "rows": F.count(F.lit(1)), "nulls": F.count_if(F.col(f.name).isNull()), "least": F.min(exact), "greatest": F.max(exact),
+        }
+        figures += [(f.name, field, c.cast("string").alias(f"{f.name}.{field}")) for field, c in values.items()]
+    sums = df.agg(*[c for *_, c in figures])
+    rows = [
+        F.struct(F.lit(key).alias("row_key"), F.lit(field).alias("field"), F.col(f"`{key}.{field}`").alias("value"))
+        for key, field, _ in figures
+    ]
+    return sums.select(F.inline(F.array(*rows)))
+
+
+@_query("gold_run")
+def gold_run(t: BoundTables) -> DataFrame:
+    """The whole run with its exports over the bound tables. All seven marts are read back: six
+    field by field, of the fact every column's extremes, read from its export."""
+    path = scratch_path(t.spark, "run")
+    cfg = _run_config(t, path, path.rpartition("-")[2], export_path=f"{path}/exports")
+    run_pipeline(t.spark, cfg, _database(t), _object_store(t))
+    marts = {name: _rows_of(t, cfg.table("gold", name)) for name in EXPORTED}
+    for layer in ("bronze", "silver", "gold"):
+        drop_schema(t.spark, cfg.schema(layer))
+    lines = read_csv(t.spark, f"{cfg.export_path}/csv/gold_sales_fact", marts.pop("sales_fact").schema)
+    feed = reduce(DataFrame.unionByName, [_fields(name, published(mart)) for name, mart in marts.items()])
+    return feed.unionByName(_extremes(lines).withColumn("mart", F.lit("sales_fact")))

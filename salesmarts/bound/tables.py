@@ -9,7 +9,7 @@ How the columns correspond:
   to the cent;
 - products: ``part``; its category is the brand, its supplier the lowest supplier number
   among its lines; employees and suppliers: ``supplier``;
-- region lookup: ``nation`` and ``region``;
+- region lookup: ``nation`` and ``region``; shippers: the order priorities;
 - activity export: the purchases in ``events``.
 
 The table's keys (c_custkey, o_orderkey ...) are still deduplicated by the silver step.
@@ -100,6 +100,14 @@ class BoundTables:
             F.col("n_name").alias("Country"),
         )
 
+    def shippers(self) -> DataFrame:
+        """The order priorities, by which the orders are shipped."""
+        priority = self.read("orders").select("o_orderpriority").distinct()
+        return priority.select(
+            F.substring("o_orderpriority", 1, 1).cast("bigint").alias("ShipperID"),
+            F.split_part("o_orderpriority", F.lit("-"), F.lit(2)).alias("CompanyName"),
+        )
+
     def orders(self, columns: tuple[str, ...] | None = None) -> DataFrame:
         """Raw orders. Without ``columns`` all; otherwise what the named ones need."""
         orders = self.read("orders")

@@ -23,13 +23,14 @@ CENTS = "decimal(38,0)"
 def to_cents(c: Column, kind: str = PRICE) -> Column:
     """A number or numeric text in whole hundredths, half-up; null if not of ``kind``.
 
-    A double that is the closest one to some number of hundredths is taken by way of that
-    number. Any other value goes through its decimal text, which alone rounds it right.
+    Below 10^13 doubles lie less than half a hundredth apart, so a value whose double is the
+    closest one to some number of hundredths is that number, rounded. Any other value, and any
+    larger one, goes through its decimal digits, which alone round it right.
     """
     x = c.try_cast("double")
     nearest = F.rint(x * 100)
     whole_digits = int(kind.split("(")[1].split(",")[0]) - 2
-    plain = (nearest / 100 == x) & (F.abs(x) < 10.0**whole_digits)
+    plain = (nearest / 100 == x) & (F.abs(x) < 10.0 ** min(13, whole_digits))
     return F.when(plain, nearest.cast("bigint")).otherwise((c.try_cast(kind) * 100).cast("bigint"))
 
 

@@ -127,6 +127,14 @@ def rejected(raw: DataFrame, rules: dict[str, Rule]) -> list[Column]:
     return counts
 
 
+def lost_revenue(raw: DataFrame) -> Column:
+    """Number of raw order lines whose values all convert but whose revenue has too many digits."""
+    parts = [rule(F.col(source)) for source, rule in (ORDER_DETAILS[n] for n in ("price_cents", "quantity", "discount_cents"))]
+    ordinary, large = line_revenue_cents(*parts)
+    whole = parts[0].isNotNull() & parts[1].isNotNull() & parts[2].isNotNull()
+    return F.count_if(whole & ordinary.isNull() & large.isNull())
+
+
 def silver_customers(raw: DataFrame) -> DataFrame:
     return keep_one(conform(raw, CUSTOMERS), ["customer_id"])
 

@@ -35,6 +35,9 @@ class PipelineConfig:
     top_n: int = 10
     fact_join: str = "left"
     export_path: str | None = None
+    # Names the run. A run of the same name writes only the tables that are not whole yet, or
+    # made from something else. Without a name every table is written.
+    run_id: str | None = None
 
     def schema(self, layer: str) -> str:
         name = getattr(self, f"{layer}_schema")

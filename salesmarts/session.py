@@ -68,17 +68,30 @@ def _file_system(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place, files = _file_system(spark, path)
+    return files.exists(place)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; nothing happens if it is not there."""
+    place, files = _file_system(spark, path)
+    files.delete(place, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for a written intermediate, in the folder the cluster shares.
 
     That is ``spark.checkpoint.dir``, or the warehouse where it is unset. Whatever is written
-    there and not deleted before goes when the application ends.
+    there and not deleted before goes when the application ends. On a cluster neither may be a
+    folder of one machine's own: its executors would write to different disks.
     """
-    shared = (
-        spark.conf.get("spark.checkpoint.dir", None)
-        or spark.sparkContext.getCheckpointDir()
-        or spark.conf.get("spark.sql.warehouse.dir")
-    )
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    told = bool(shared)
+    shared = shared or spark.conf.get("spark.sql.warehouse.dir")
+    place, files = _file_system(spark, shared)
+    if not told and files.getScheme() == "file" and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; {shared} is this machine's own")
     folder = f"{shared.rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
     place, files = _file_system(spark, folder)
     if not files.exists(place):
@@ -94,5 +107,4 @@ def scratch(spark: SparkSession, label: str) -> Iterator[str]:
     try:
         yield path
     finally:
-        place, files = _file_system(spark, path)
-        files.delete(place, True)
+        delete(spark, path)

@@ -13,7 +13,7 @@ from salesmarts.functions.text import blank_to_null
 
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: str | T.StructType | None = None,
     delimiter: str = ",",
     header: bool = True,
@@ -90,10 +90,14 @@ def json_fields(
 
 
 def read_raw_json(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
-    """JSON arrays as one variant per record, for ``json_fields``.
+    """JSON records, alone or in arrays, as one variant per record, for ``json_fields``.
 
     An array takes a file, which then should be no larger than one task can hold, or with
     ``whole_files=False`` a line, so that files are split among tasks.
     """
-    array = F.from_json(F.col("value"), "array<variant>", {"mode": "FAILFAST"})
-    return spark.read.text(path, wholetext=whole_files).select(F.explode(array).alias("raw_json"))
+    value = F.col("value")
+    records = F.when(
+        F.ltrim(value).startswith("["), F.from_json(value, "array<variant>", {"mode": "FAILFAST"})
+    ).otherwise(F.array(F.parse_json(value)))
+    lines = spark.read.text(path, wholetext=whole_files).where(F.trim(value) != "")
+    return lines.select(F.explode(records).alias("raw_json"))

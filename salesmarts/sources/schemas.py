@@ -31,3 +31,14 @@ JSON_RECORDS = {
         "ProductID BIGINT, ProductName STRING, CategoryID BIGINT, SupplierID BIGINT, UnitPrice DOUBLE"
     ),
 }
+
+# Fields of raw JSON records that are kept as variants: name to (path, type).
+JSON_FIELDS = {
+    "products": {
+        "ProductID": ("$.ProductID", "bigint"),
+        "ProductName": ("$.ProductName", "string"),
+        "CategoryID": ("$.CategoryID", "bigint"),
+        "SupplierID": ("$.SupplierID", "bigint"),
+        "UnitPrice": ("$.UnitPrice", "double"),
+    },
+}
