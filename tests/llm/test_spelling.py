@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+from zlib import crc32
+
+import pytest
+from odd_documents import clashing, nothing, odd, odd_rows, table  # noqa: F401
+
+from salesmarts.llm import spelling
+
+
+def near(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    long, short = (a, b) if len(a) > len(b) else (b, a)
+    return any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+
+
+def expected(rows):
+    """By brute force: word, form, root, n, n_near, form_n."""
+    n = Counter()
+    for doc_id, text, *_ in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            word = "".join(c.lower() if c.isascii() else c for c in run)
+            h = crc32(f"{'' if doc_id is None else doc_id}:{word}".encode())
+            if h % 97 == 0:
+                word = word[: h % len(word)] + word[h % len(word) + 1 :]
+            n[word] += 1
+    n = {w: k for w, k in n.items() if len(w) >= 5 and k >= 3}
+    form, out = {}, []
+    partners = {w: [x for x in n if near(w, x)] for w in n}
+    for w, others in partners.items():
+        if others:
+            best = min(others, key=lambda x: (-n[x], x))
+            if n[best] >= 2 * n[w]:
+                form[w] = best
+    for w in n:
+        root = w
+        while root in form:
+            root = form[root]
+        out.append((w, form.get(w), root, n[w], len(partners[w]), n.get(form.get(w))))
+    return sorted(out)
+
+
+def found(df):
+    assert df.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    return sorted(map(tuple, df.collect()))
+
+
+@pytest.fixture(scope="module")
+def variants():
+    """Words, and their slips of one and two code points, in texts of their own."""
+    rnd = random.Random(4)
+    letters = "abcdeéßÀ÷"
+    rows = []
+    for k in range(60):
+        word = "".join(rnd.choices(letters, k=rnd.randint(5, 9)))
+        for _ in range(rnd.randint(3, 40)):
+            rows.append(word)
+        for _ in range(8):
+            slip = list(word)
+            for _ in range(rnd.randint(1, 2)):
+                at = rnd.randrange(len(slip))
+                rnd.choice([lambda: slip.pop(at), lambda: slip.insert(at, rnd.choice(letters)), lambda: slip.__setitem__(at, "z")])()
+            rows += ["".join(slip)] * rnd.randint(1, 12)
+    rnd.shuffle(rows)
+    docs = [(i, " ".join(rows[i * 9 : i * 9 + 9]) + ". ABCDE Abcdé") for i in range(len(rows) // 9 + 1)]
+    return docs + [(None, "abcde abcde abcdé"), (None, None), (7, "Abcde abcdea"), (7, "Abcde abcdea")]
+
+
+@pytest.mark.parametrize("slice_rows", [2, spelling.SLICE])
+def test_by_brute_force(spark, variants, slice_rows):
+    docs = spark.createDataFrame(variants, "doc_id bigint, text string").repartition(4)
+    want = expected(variants)
+    assert any(r[1] and r[2] != r[1] for r in want) and sum(r[4] > 3 for r in want) > 20
+    assert found(spelling.variants(docs, slice_rows=slice_rows)) == want
+
+
+def test_every_slip_of_every_length_is_found_once(spark):
+    rnd = random.Random(9)
+    words = set()
+    for size in range(1, 13):
+        word = "".join(rnd.choices("ab", k=size))
+        words.add(word)
+        words |= {word[:i] + word[i + 1 :] for i in range(size)}
+        words |= {word[:i] + c + word[i + d :] for i in range(size) for c in "abc" for d in (0, 1)}
+    words = sorted(words - {""})
+    want = sorted((max(a, b, key=len) if len(a) != len(b) else a, min(a, b, key=len) if len(a) != len(b) else b)
+                  for i, a in enumerate(words) for b in words[i + 1 :] if near(a, b))
+    got = spelling.near_pairs(spark.createDataFrame([(w,) for w in words], "word string"))
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_forms_of_forms(spark):
+    chain = {"aaaaa": 3, "aaaab": 6, "aaabb": 12, "aabbb": 25, "abbbb": 50, "bbbbb": 100}
+    docs = [(i, w) for i, (w, n) in enumerate(chain.items()) for _ in range(n)]
+    rows = {r[0]: r for r in found(spelling.variants(spark.createDataFrame(docs, "doc_id bigint, text string")))}
+    assert [rows[w][2] for w in chain] == ["bbbbb"] * 6 and rows["aaaab"][1:6:2] == ("aaabb", 6, 12)
+
+
+def test_ties_go_to_the_first_word(spark):
+    docs = [(1, "mouse " * 3 + "mouze " * 8 + "moude " * 8 + "zmouse " * 8)]
+    assert expected(docs)[0][1] is None
+    assert found(spelling.variants(spark.createDataFrame(docs, "doc_id bigint, text string"))) == expected(docs)
+
+
+def test_odd_documents(odd, clashing, nothing):
+    want = expected(odd_rows())
+    assert len(want) > 50 and found(spelling.variants(odd)) == want
+    assert found(spelling.variants(clashing)) == want
+    assert spelling.variants(nothing).collect() == []
