@@ -14,6 +14,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import filterfalse
 from zlib import crc32
 
 import numpy as np
@@ -27,8 +28,8 @@ from salesmarts.llm import common
 GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 128 << 10, 2000
 #: Text that a part is to hold, estimated from rows; beyond ``MOST_PARTS`` parts get larger.
 PART_ROWS, MOST_PARTS = 8192, 50_000
-#: Chunks, and words in them, whose ids are kept for later texts; beyond, a memo starts afresh.
-MEMO_CHUNKS = 500_000
+#: Chunks whose ids are kept for later texts; beyond, the memo starts afresh.
+MEMO_CHUNKS = 1_000_000
 #: Bytes of text in one entry of an encoding batch.
 SEGMENT_BYTES = 2 << 10
 
@@ -37,8 +38,12 @@ _NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "c
 _CUT = re.compile("[ \n]")
 # One word of the splitting pattern, whatever stands beside it after a space.
 _LETTERS = re.compile("[a-z\u00e0-\u00f6\u00f8-\u00ff]+")
-# A letter or digit and a stop after it are never in one token.
-_STOP = re.compile("(?<=[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])[.,;:!?]")
+# A letter or digit and a stop after it are never in one token. U+0130 becomes a letter and a
+# mark when lower-cased, and a mark goes with the stop.
+_STOP = re.compile("(?<=[A-Za-z0-9\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u012f\\u0131-\\u024f])[.,;:!?]")
+_STOPS = ".,;:!?"
+# Signs beyond Latin letters, some of which are lower-cased by what stands beside them.
+_OTHER = re.compile("[^\\x00-\\u024f]")
 
 
 class Encoder:
@@ -75,13 +80,15 @@ class Encoder:
         suffix = config["model"].get("end_of_word_suffix")
         self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool) if suffix else None
         if suffix:
+            # Words of letters are normal and whole already: only their bytes and pairs are left to do.
+            config |= {"normalizer": None, "added_tokens": []}
+            config["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *steps[1:]]}
+            self.plain = Tokenizer.from_str(json.dumps(config))
             self.ends[[k for t, k in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith(suffix)]] = True
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {"": b""}
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4") for e in found]
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
         """Ids of words, encoded joined and cut apart again: words of letters only by the ids that
@@ -89,13 +96,13 @@ class Encoder:
         lettered = [w for w in words if _LETTERS.fullmatch(w)] if self.ends is not None else []
         others = sorted(set(words).difference(lettered))
         held = [w for w in others if any(a in w for a in self.added)]
-        self.words.update(zip(held, (x.tobytes() for x in self._encode(held)), strict=True))
-        for part, ids in self._joined(lettered, " "):
+        self.known.update(zip(held, (x.tobytes() for x in self._encode(held)), strict=True))
+        for part, ids in self._joined(lettered, " ", self.plain):
             self._cut(part, ids, np.flatnonzero(self.ends[ids]) + 1, 0)
-        for part, ids in self._joined([w for w in others if w not in self.words], self.mark):
+        for part, ids in self._joined([w for w in others if w not in self.known], self.mark, self.tokenizer):
             self._cut(part, ids, np.append(np.flatnonzero(ids == self.mark_id), len(ids)), 1)
 
-    def _joined(self, words: list[str], by: str) -> Iterator[tuple[list[str], np.ndarray]]:
+    def _joined(self, words: list[str], by: str, tokenizer) -> Iterator[tuple[list[str], np.ndarray]]:
         """Segments of words with the ids of the words joined."""
         parts, size = [[]], 0
         for word in words:
@@ -105,33 +112,31 @@ class Encoder:
             parts[-1].append(word)
             size += len(word.encode()) + 1
         parts = [p for p in parts if p]
-        yield from zip(parts, self._encode([by.join(p) for p in parts]), strict=True)
+        found = tokenizer.encode_batch_fast([by.join(p) for p in parts], add_special_tokens=False)
+        yield from ((part, np.array(e.ids, "<u4")) for part, e in zip(parts, found, strict=True))
 
     def _cut(self, part: list[str], ids: np.ndarray, ends: np.ndarray, skipped: int) -> None:
         starts = [0, *(ends[:-1] + skipped).tolist()]
         raw = ids.tobytes()
-        self.words.update((w, raw[4 * s : 4 * e]) for w, s, e in zip(part, starts, ends.tolist(), strict=True))
+        self.known.update((w, raw[4 * s : 4 * e]) for w, s, e in zip(part, starts, ends.tolist(), strict=True))
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The texts' ids as little-endian unsigned 32-bit integers."""
         if not self.cuttable:
             return [x.tobytes() for x in self._encode(texts)]
-        cut = [_CUT.split(t) for t in texts]
-        if len(self.chunks) > MEMO_CHUNKS:
-            self.chunks = {}
-        if len(self.words) > MEMO_CHUNKS:
-            self.words = {"": b""}
-        new = {}
-        for chunk in set().union(*cut) - self.chunks.keys():
-            # ASCII letters are lower-cased by the tokenizer itself; a special string is left as it is.
-            word = chunk.lower() if chunk.isascii() and "<" not in chunk else chunk
-            stop = word[-1:] if _STOP.match(word, len(word) - 1) else ""
-            new[chunk] = (word[: len(word) - len(stop)], stop)
-        self._learn(list({w for pair in new.values() for w in pair} - self.words.keys()))
-        words = self.words
-        self.chunks.update((c, words[w] + words[stop]) for c, (w, stop) in new.items())
-        of = self.chunks.__getitem__
-        return [b"".join(map(of, c)) for c in cut]
+        # Latin letters are lower-cased here as the tokenizer does, so that fewer chunks differ.
+        lowered = (t if "<" in t or _OTHER.search(t) else t.lower() for t in texts)
+        cut = [t.replace("\n", " ").split(" ") for t in lowered]
+        if len(self.known) > MEMO_CHUNKS:
+            self.known = {"": b""}
+        known, new = self.known, set()
+        for chunks in cut:
+            new.update(filterfalse(known.__contains__, chunks))
+        stopped = {c: c[:-1] for c in new if _STOP.match(c, len(c) - 1)}
+        self._learn(list(new.difference(stopped).union(stopped.values(), _STOPS).difference(known)))
+        for chunk, word in stopped.items():
+            known[chunk] = known[word] + known[chunk[-1]]
+        return [b"".join(map(known.__getitem__, c)) for c in cut]
 
 
 _ENCODERS: dict[int, Encoder] = {}  # by the tokenizer's content, one per Python worker

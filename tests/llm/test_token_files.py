@@ -73,9 +73,9 @@ def test_selective_reads(spark, files):
 def test_encodings_row_groups_and_pages(spark, odd):
     path = scratch_path(spark, "small-pages")
     rows = odd.where("doc_id IS NOT NULL")
-    for _ in range(4):
+    for _ in range(5):
         rows = rows.unionAll(rows)
-    token_files.write_token_files(rows, path, WORDS, 1, group_bytes=1 << 16, page_rows=50)
+    token_files.write_token_files(rows, path, WORDS, 1, group_bytes=1 << 12, page_rows=50)
     (file,) = glob.glob(f"{path}/rows/*.parquet")
     meta = pq.read_metadata(file)
     assert meta.num_row_groups > 2
