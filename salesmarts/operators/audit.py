@@ -13,8 +13,10 @@ FOOTERS = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregate
 
 def layer_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table with its number of rows, counted in one job."""
+    # Where a folder has no rows, the sum of its files' counts is null.
+    none = F.lit(0).cast("bigint")
     counts = [
-        df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), F.coalesce("n", none).alias("row_count"))
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)

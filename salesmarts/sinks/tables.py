@@ -12,7 +12,6 @@ import re
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,12 +40,9 @@ def drop_schema(spark: SparkSession, schema: str) -> None:
 
 def described(spark: SparkSession, table: str) -> dict[str, str]:
     """Location, type, provider and own properties of a table or view; nothing if it is not there."""
-    try:
-        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-    except AnalysisException as e:
-        if e.getCondition() != "TABLE_OR_VIEW_NOT_FOUND":
-            raise
+    if not spark.catalog.tableExists(table):
         return {}
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
     found = {r["col_name"]: r["data_type"] for r in rows if r["col_name"] in ("Location", "Type", "Provider", "Table Properties")}
     return found | dict(re.findall(r"(salesmarts\.\w+)=([^,\]]*)", found.get("Table Properties", "")))
 

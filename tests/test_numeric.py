@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
@@ -99,3 +100,23 @@ def test_published_turns_decimals_into_doubles(spark):
     df = spark.createDataFrame([(Decimal("1.10"), 3, "x")], "a decimal(18,2), b int, c string")
     assert [f.dataType.simpleString() for f in published(df).schema] == ["double", "int", "string"]
     assert tuple(published(df).first()) == (1.1, 3, "x")
+
+
+@pytest.mark.parametrize("text", [
+    "90071992547409.93", "900719925474099.31", "9007199254740993.01", "70368744177664.01", "17592186044416.995", "9999999999999.995",
+    "9999999999999999.99", "-90071992547409.93", "12345678901234.565", "0.00499999999999999999999", "0.005", "1.005", "17.455",
+])
+def test_cents_are_exact_at_any_size(spark, text):
+    want = int((Decimal(text) * 100).quantize(Decimal(1), "ROUND_HALF_UP"))
+    df = spark.createDataFrame([(text, Decimal(text).quantize(Decimal("0.001"), "ROUND_HALF_UP"))], "t string, d decimal(22,3)")
+    got = df.select(to_cents(F.col("t")).alias("t"), to_cents(F.col("d").cast("decimal(18,2)")).alias("d")).first()
+    assert got.t == want
+    assert got.d == int((Decimal(text).quantize(Decimal("0.001"), "ROUND_HALF_UP") * 100).quantize(Decimal(1), "ROUND_HALF_UP"))
+
+
+def test_cents_of_doubles_are_those_of_their_digits(spark):
+    rnd = random.Random(3)
+    values = [rnd.randrange(10**k) / 100 for k in range(3, 17) for _ in range(40)] + [rnd.random() * 10**k for k in range(14) for _ in range(20)]
+    df = spark.createDataFrame([(x,) for x in values], "x double")
+    got = [r.c for r in df.select(to_cents(F.col("x")).alias("c")).collect()]
+    assert got == [int((Decimal(repr(x)) * 100).quantize(Decimal(1), "ROUND_HALF_UP")) for x in values]
