@@ -13,8 +13,10 @@ class PipelineConfig:
     database_url: str | None = None
     database_properties: dict[str, str] = field(default_factory=dict)
     database_splits: dict[str, TableSplit] = field(default_factory=dict)
-    # Reads of the order tables in parallel, by order id, where database_splits says nothing.
-    database_partitions: int = 64
+    # How the order tables are read in parallel, by order id, where database_splits says nothing:
+    # by ranges of so many rows, or, if it is given, by so many ranges of equal width.
+    database_rows: int = 1_000_000
+    database_partitions: int | None = None
     object_store_path: str | None = None
     # Names of input files other than <table>.csv and <table>.json, such as compressed ones.
     file_names: dict[str, str] = field(default_factory=dict)
@@ -48,7 +50,9 @@ class PipelineConfig:
         if table in self.database_splits:
             return self.database_splits[table]
         if table in ("orders", "orderdetails"):
-            return TableSplit("OrderID", self.database_partitions)
+            if self.database_partitions is not None:
+                return TableSplit("OrderID", self.database_partitions)
+            return TableSplit("OrderID", rows=self.database_rows)
         return TableSplit()
 
     def schema_location(self, layer: str) -> str | None:

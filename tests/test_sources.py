@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import gzip
+import importlib
 
 import pytest
 from conftest import rows
@@ -190,3 +191,47 @@ def test_database_table_by_predicates_or_whole():
     assert reader.asked["predicates"] == list(conditions)
     read_database_table(reader, "jdbc:x", "Shippers")
     assert "numPartitions" not in reader.asked
+
+
+class _Database(_Reader):
+    """Answers the reader's queries from rows of this process."""
+
+    def __init__(self, con):
+        super().__init__()
+        self.con, self.queries = con, []
+
+    def collect(self):
+        self.queries.append(self.asked["query"])
+        return self.con.execute(self.asked["query"]).fetchall()
+
+
+@pytest.mark.parametrize("engine", ["duckdb", "sqlite3"])
+def test_ranges_of_equal_rows_however_the_ids_are_spread(engine):
+    con = importlib.import_module(engine).connect(":memory:")
+    con.execute("CREATE TABLE Lines (OrderID BIGINT, x BIGINT)")
+    # Nine tenths of the ids in a thousandth of their range, one id many times, some without one.
+    ids = [*range(500_000, 509_000), *range(0, 10_000_000, 10_000), *([700_001] * 700), *([None] * 9)]
+    con.executemany("INSERT INTO Lines VALUES (?, ?)", [(i, k) for k, i in enumerate(ids)])
+    reader = _Database(con)
+    read_database_table(reader, "jdbc:x", "Lines", TableSplit("OrderID", rows=500), {"user": "u"}, "OrderID BIGINT")
+    conditions = reader.asked["predicates"]
+    sizes = [con.execute(f"SELECT count(*) FROM Lines WHERE {c}").fetchone()[0] for c in conditions]
+    assert sum(sizes) == len(ids) and len(reader.queries) == 1 and reader.asked["customSchema"] == "OrderID BIGINT"
+    assert 18 <= len(sizes) <= 23 and max(sizes) <= 1200 and sorted(sizes)[-2] <= 520
+
+
+def test_a_table_of_one_range_or_none_is_read_at_once():
+    con = importlib.import_module("sqlite3").connect(":memory:")
+    con.execute("CREATE TABLE T (a BIGINT)")
+    for _ in range(2):
+        reader = _Database(con)
+        read_database_table(reader, "jdbc:x", "T", TableSplit("a", rows=10))
+        assert "predicates" not in reader.asked and reader.asked["dbtable"] == "T"
+        con.execute("INSERT INTO T VALUES (1), (2)")
+
+
+def test_order_tables_are_read_by_rows_unless_told_otherwise():
+    from salesmarts import PipelineConfig
+
+    assert PipelineConfig().split("orders") == TableSplit("OrderID", rows=1_000_000)
+    assert PipelineConfig(database_rows=50).split("orderdetails").rows == 50
