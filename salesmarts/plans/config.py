@@ -37,6 +37,8 @@ class PipelineConfig:
     top_n: int = 10
     fact_join: str = "left"
     export_path: str | None = None
+    # Also export the feed as one JSON document of arrays.
+    feed_document: bool = False
     # Names the run. A run of the same name writes only the tables that are not whole yet, or
     # made from something else. Without a name every table is written.
     run_id: str | None = None

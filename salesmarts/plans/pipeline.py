@@ -19,7 +19,7 @@ from salesmarts.operators import churn, conform, fact, sales
 from salesmarts.operators.ordering import ordered
 from salesmarts.plans.config import PipelineConfig
 from salesmarts.session import path_exists, scratch
-from salesmarts.sinks.exports import export_csv, export_json
+from salesmarts.sinks.exports import export_csv, export_json, export_json_document
 from salesmarts.sinks.tables import (
     described,
     ensure_schema,
@@ -71,18 +71,22 @@ def _files(cfg: PipelineConfig) -> dict[str, str]:
 
 
 def read_object_store(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame]:
-    """The files' tables; JSON records that have declared fields come as one variant a record."""
+    """The files' tables with their declared columns."""
     path = _files(cfg)
     tables = {name: read_csv(spark, path[name], schema) for name, schema in CSV_FILES.items()}
     for name, schema in JSON_RECORDS.items():
-        if name in JSON_FIELDS:
-            tables[name] = read_raw_json(spark, path[name], whole_files=not cfg.json_lines)
-        else:
-            tables[name] = read_json_records(spark, path[name], schema, multi_line=not cfg.json_lines)
+        tables[name] = read_json_records(spark, path[name], schema, multi_line=not cfg.json_lines)
     tables["region_lookup"] = read_json_object(spark, path["region_lookup"], "Country", "Region")
     return tables
 
 
+def read_raw_object_store(spark: SparkSession, cfg: PipelineConfig) -> dict[str, DataFrame]:
+    """The same, but JSON records as one variant each: they are kept whole, whatever they hold."""
+    path = _files(cfg)
+    raw = {name: read_raw_json(spark, path[name], whole_files=not cfg.json_lines) for name in JSON_FIELDS}
+    return read_object_store(spark, cfg) | raw
+
+
 class Store:
     """Writes a run's tables, and passes over those that a run of the same name has written whole.
 
@@ -262,7 +266,10 @@ def export_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
     gold = {name: ordered(name, spark.table(cfg.table("gold", name))) for name in EXPORTED}
     for name, df in gold.items():
         export_csv(df, f"{cfg.export_path}/csv/gold_{name}")
-    export_json({f"gold_{n}": gold[n] for n in FEED}, f"{cfg.export_path}/feed")
+    feed = {f"gold_{n}": gold[n] for n in FEED}
+    export_json(feed, f"{cfg.export_path}/feed")
+    if cfg.feed_document:
+        export_json_document(feed, f"{cfg.export_path}/feed_document")
 
 
 def run_pipeline(
@@ -282,7 +289,7 @@ def run_pipeline(
     from_files = not object_store
     store = Store(spark, cfg)
     land_bronze(store, database or read_database(spark, cfg), "db_source")
-    land_bronze(store, object_store or read_object_store(spark, cfg), "object_store", from_files)
+    land_bronze(store, object_store or read_raw_object_store(spark, cfg), "object_store", from_files)
     build_silver(store, rejected)
     build_gold(store)
     if cfg.export_path:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
 import json
 import os
 import random
@@ -14,9 +15,9 @@ from test_sources import CATEGORIES, LOOKUP
 from salesmarts import PipelineConfig, run_pipeline
 from salesmarts.operators.audit import layer_row_counts
 from salesmarts.operators.ordering import ordered
-from salesmarts.plans.pipeline import read_object_store
+from salesmarts.plans.pipeline import FEED, read_object_store
 from salesmarts.session import scratch, scratch_path, sized
-from salesmarts.sinks.exports import export_csv, export_json
+from salesmarts.sinks.exports import export_csv, export_json, export_json_document
 from salesmarts.sinks.tables import (
     ensure_schema,
     load_table,
@@ -126,6 +127,19 @@ def test_json_feed(spark, tmp_path):
     assert spark.read.schema(df.schema).json(str(tmp_path / "gold_b")).count() == 0
 
 
+def test_json_document(spark, tmp_path):
+    months = [(f"{y}-{m:02d}", Decimal(y * m) / 4) for y in range(1990, 2000) for m in range(1, 13)]
+    random.Random(1).shuffle(months)
+    monthly = spark.createDataFrame(months, "year_month string, total_revenue decimal(18,2)").repartition(5)
+    regions = spark.createDataFrame([(None, 1), ("EMEA", None), ('a "b"', 2)], "region string, n int").repartition(3)
+    export_json_document({"m": ordered("sales_monthly", monthly), "none": regions.limit(0), "r": regions}, str(tmp_path / "doc"))
+    parts = sorted((tmp_path / "doc").glob("part-*.txt"))
+    found = json.loads("".join(p.read_text() for p in parts))
+    assert list(found) == ["m", "none", "r"] and len(parts) > 3 and found["none"] == []
+    assert found["m"] == [{"year_month": m, "total_revenue": float(v)} for m, v in sorted(months)]
+    assert sorted(map(str, found["r"])) == sorted(map(str, [{"region": r.region, "n": r.n} for r in regions.collect()]))
+
+
 def test_layer_row_counts(spark):
     counts = layer_row_counts({"a": spark.range(3), "b": spark.range(0)})
     assert rows(counts) == [("a", 3), ("b", 0)]
@@ -200,7 +214,7 @@ def run(request, spark, sources, tmp_path_factory):
     cfg = PipelineConfig(
         object_store_path=store,
         bronze_schema=f"b_{how}", silver_schema=f"s_{how}", gold_schema=f"g_{how}",
-        fact_join=how, top_n=5, export_path=str(tmp_path_factory.mktemp("export")),
+        fact_join=how, top_n=5, export_path=str(tmp_path_factory.mktemp("export")), feed_document=True,
         fact_partition_by=("region",) if how == "inner" else (),
     )
     return cfg, run_pipeline(spark, cfg, database)
@@ -249,6 +263,11 @@ def test_pipeline_exports(spark, run):
     assert rows(back) == rows(fact)
     feed = spark.read.json(f"{cfg.export_path}/feed/gold_customer_churn")
     assert feed.count() == counts[cfg.table("gold", "customer_churn")]
+    parts = sorted(glob.glob(f"{cfg.export_path}/feed_document/part-*"))
+    document = json.loads("".join(open(p).read() for p in parts))
+    assert {t: len(rows_) for t, rows_ in document.items()} == {
+        f"gold_{n}": counts[cfg.table("gold", n)] for n in FEED
+    }
 
 
 def test_lined_json_and_compressed_files(spark, sources, tmp_path):
