@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesmarts.session import scratch_path
@@ -161,9 +161,19 @@ def sampled(rows: DataFrame, label: str, rows_per_label: int) -> DataFrame:
     return rows.where(wanted)
 
 
+#: Rows of one id in a sample at most: ids are drawn, and one of them may hold many rows.
+ROWS_PER_ID = 4
+
+
 def collected(sample: DataFrame, label: str) -> list[tuple[bytes, object]]:
-    """Text and label of a bounded sample, equal rows once, in an order of their own."""
-    taken = sample.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col(label).alias("label")).collect()
+    """Text and label of a bounded sample, equal rows once, in an order of their own.
+
+    Of an id that many rows share, ``ROWS_PER_ID`` are taken, by a hash of their texts.
+    """
+    rows = sample.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col(label).alias("label"))
+    own = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "label")
+    rows = rows.dropDuplicates().withColumn("place", F.row_number().over(own))
+    taken = rows.where(F.col("place") <= ROWS_PER_ID).drop("place").collect()
     unique = {(r["doc_id"] is None, r["doc_id"] or 0, r["text"], r["label"]) for r in taken}
     return [(text.encode(), value) for _, _, text, value in sorted(unique)]
 

@@ -2,7 +2,7 @@
 
 Each language has a Bloom filter of the byte n-grams typical of it. The filters are bit-sliced:
 one table whose entry at a hash holds one bit per language, so the AND of an n-gram's entries is
-the mask of all languages containing it. A document's bits are counted per language and corrected
+the mask of all languages containing it. More than 64 languages take a table for every 64. A document's bits are counted per language and corrected
 for the filter's own rate of false positives; the largest share decides.
 """
 
@@ -34,6 +34,7 @@ _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 _LETTER = regex.compile(r"\p{L}")
 _MASKS = {8: np.uint8, 16: np.uint16, 32: np.uint32, 64: np.uint64}
+_WIDEST = 64
 
 
 def _letters(text: str) -> bytes:
@@ -57,15 +58,18 @@ def _places(grams: np.ndarray) -> list[np.ndarray]:
 @dataclass
 class Filters:
     languages: list[str]
-    table: np.ndarray  # one bit per language
+    tables: list[np.ndarray]  # one bit per language
     false_rate: np.ndarray  # of each language's filter
 
-    def masks(self, grams: np.ndarray) -> np.ndarray:
+    def masks(self, grams: np.ndarray) -> list[np.ndarray]:
         first, *others = _places(grams)
-        found = self.table[first]
-        for at in others:
-            found &= self.table[at]
-        return found
+        out = []
+        for table in self.tables:
+            found = table[first]
+            for at in others:
+                found &= table[at]
+            out.append(found)
+        return out
 
     def shares(self, texts: list[str]) -> np.ndarray:
         """Per text and language the share of n-grams it contains, less the false positives."""
@@ -80,7 +84,8 @@ class Filters:
         if some.any():
             edges = np.stack((starts[some], starts[some] + n[some]), axis=1).ravel()
             for k in range(len(self.languages)):
-                bit = ((masks >> masks.dtype.type(k)) & masks.dtype.type(1)).astype(np.int64)
+                mask = masks[k // _WIDEST]
+                bit = ((mask >> mask.dtype.type(k % _WIDEST)) & mask.dtype.type(1)).astype(np.int64)
                 counts = np.add.reduceat(np.append(bit, 0), edges)[::2]
                 rate = self.false_rate[k]
                 out[some, k] = (counts / n[some] - rate) / (1 - rate)
@@ -88,10 +93,8 @@ class Filters:
 
 
 def fit(sample: list[tuple[bytes, str]]) -> Filters:
-    """Filters of (text, language). Up to 64 languages; the first in order win ties."""
+    """Filters of (text, language); the first languages in order win ties."""
     languages = sorted({v for _, v in sample})
-    if len(languages) > 64:
-        raise ValueError(f"{len(languages)} languages; a mask holds 64")
     counts = {}
     for language in languages:
         flow = [ngrams(_letters(t.decode())) for t, v in sample if v == language]
@@ -104,13 +107,17 @@ def fit(sample: list[tuple[bytes, str]]) -> Filters:
         rates[k, at] = n / max(1, n.sum())
         seen[k, at] = n >= LEAST_COUNT if n.max(initial=0) >= LEAST_COUNT else True
     top = rates.max(axis=0, initial=0)
-    mask = next(t for bits, t in _MASKS.items() if bits >= len(languages))
-    table = np.zeros(1 << TABLE_BITS, mask)
-    for k in range(len(languages)):
-        for at in _places(grams[seen[k] & (rates[k] >= LEAST_SHARE * top)]):
-            table[at] |= mask(1 << k)
-    fill = np.array([((table >> mask(k)) & mask(1)).mean() for k in range(len(languages))])
-    return Filters(languages, table, np.minimum(fill**HASHES, 0.9))
+    tables, fill = [], []
+    for first in range(0, len(languages), _WIDEST) or [0]:
+        own = range(first, min(first + _WIDEST, len(languages)))
+        mask = next(t for bits, t in _MASKS.items() if bits >= len(own))
+        table = np.zeros(1 << TABLE_BITS, mask)
+        for k in own:
+            for at in _places(grams[seen[k] & (rates[k] >= LEAST_SHARE * top)]):
+                table[at] |= mask(1 << (k - first))
+        tables.append(table)
+        fill += [((table >> mask(k - first)) & mask(1)).mean() for k in own]
+    return Filters(languages, tables, np.minimum(np.array(fill) ** HASHES, 0.9))
 
 
 def languages_of(

@@ -88,22 +88,40 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
 # The pseudorandom order of a source's blocks
 
 
-def _permuted(x: Column, n: Column, *keys) -> Column:
-    """A one-to-one map of 0..n-1 onto itself that depends on the keys (n below 2^31).
+def _scrambled(x: Column, n: Column, keys: tuple, primes: tuple[int, ...], wide: bool) -> Column:
+    """Twice: multiply by a prime beyond n and shift, modulo n; then, within the largest power of
+    two up to n, fold the high bits onto the low ones and multiply by an odd number."""
 
-    Twice: multiply by a prime beyond n and shift, modulo n; then, within the largest power of
-    two up to n, fold the high bits onto the low ones and multiply by an odd number.
-    """
+    def times(a: Column, b: Column, added: Column, modulus: Column) -> Column:
+        if not wide:
+            return F.pmod(a * b + added, modulus)
+        exact = a.cast("decimal(19,0)") * b.cast("decimal(19,0)") + added
+        return F.pmod(exact, modulus.cast("decimal(19,0)")).cast(_LONG)
+
+    none = F.lit(0).cast(_LONG)
     bits = F.floor(F.log2(F.greatest(n, F.lit(1)).cast("double"))).cast("int")
+    # Beyond 2^53 the logarithm may be rounded up to the next power.
+    bits = bits - (F.call_function("shiftleft", F.lit(1).cast(_LONG), bits) > F.greatest(n, F.lit(1))).cast("int")
     size = F.call_function("shiftleft", F.lit(1).cast(_LONG), bits)
     half = F.call_function("shiftright", bits + 1, F.lit(1))
-    for step, prime in enumerate((2147483647, 2147483629)):
+    for step, prime in enumerate(primes[:2]):
         drawn = F.shiftrightunsigned(F.xxhash64(*keys, F.lit(step)), 33)
-        x = F.pmod(x * F.lit(prime) + drawn, n)
+        x = times(x, F.lit(prime), drawn, n)
         odd = F.shiftrightunsigned(F.xxhash64(*keys, F.lit(step + 7)), 34) * 2 + 1
         folded = x.bitwiseXOR(F.call_function("shiftright", x, half))
-        x = F.when(x < size, (folded * odd).bitwiseAND(size - 1)).otherwise(x)
-    return F.pmod(x * F.lit(2147483587) + F.shiftrightunsigned(F.xxhash64(*keys, F.lit(99)), 33), n)
+        x = F.when(x < size, times(folded, odd, none, size)).otherwise(x)
+    return times(x, F.lit(primes[2]), F.shiftrightunsigned(F.xxhash64(*keys, F.lit(99)), 33), n)
+
+
+#: Primes beyond every n that the products of bigint, and those of decimals, hold exactly.
+_PRIMES, _WIDE_PRIMES = (2147483647, 2147483629, 2147483587), (2**62 - 57, 2**62 - 87, 2**62 - 117)
+
+
+def _permuted(x: Column, n: Column, *keys) -> Column:
+    """A one-to-one map of 0..n-1 onto itself that depends on the keys (n below 2^61)."""
+    small = F.least(n, F.lit(_PRIMES[2] - 1).cast(_LONG))
+    plain = _scrambled(F.least(x, small - 1), small, keys, _PRIMES, wide=False)
+    return F.when(n == small, plain).otherwise(_scrambled(x, n, keys, _WIDE_PRIMES, wide=True))
 
 
 # Plan and mixture

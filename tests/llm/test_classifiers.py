@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -113,3 +114,19 @@ def test_label_model_follows_good_voters_and_not_their_copies():
 def test_shapes_and_words():
     assert quality.shape(b"HELLO!!") == b"XX!!" and quality.shape(b"abc12%%%") == b"xx99%%"
     assert quality.plain(b"Hello,") == b"hello"
+
+
+def test_any_number_of_languages(spark):
+    rnd = random.Random(6)
+    names = [f"l{k:02d}" for k in range(70)]
+    words = {n: ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(12)] for n in names}
+    rows = [(i, " ".join(rnd.choices(words[names[i % 70]], k=20)), names[i % 70]) for i in range(70 * 12)]
+    found = language.languages_of(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()
+    assert {r.doc_id: r.lang_pred for r in found} == {i: lang for i, _, lang in rows}
+
+
+def test_a_repeated_id_brings_few_rows_to_a_sample(spark):
+    rows = [(7, f"text {k % 50}", "en") for k in range(3000)] + [(None, f"none {k}", "en") for k in range(100)] + [(k, "x", "de") for k in range(20, 60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    taken = common.collected(df, "lang")
+    assert len(taken) == 2 * common.ROWS_PER_ID + 40 and len(common.collected(df.where("doc_id = 7").limit(50), "lang")) <= 4

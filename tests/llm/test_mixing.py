@@ -75,6 +75,19 @@ def test_permutation(spark, n):
     assert sorted(r.x for r in images.collect()) == list(range(n))
 
 
+@pytest.mark.parametrize("n", [2147483587, 2147483647, 2**33 + 5, 5 * 10**9, 2**53 + 1, 2**60 - 1, 2**61 - 1])
+def test_permutation_of_many_blocks(spark, n):
+    """By properties on drawn points: within 0 to n - 1, one-to-one, spread over it, and inverted."""
+    points = spark.range(4000).select((F.col("id") * F.lit(n // 4000)).alias("x")).union(
+        spark.range(1000).select(F.col("id").alias("x"))).union(spark.range(1000).select((F.lit(n - 1) - F.col("id")).alias("x"))).distinct()
+    rows = points.select("x", mixing._permuted(F.col("x"), F.lit(n).cast("bigint"), F.lit(3)).alias("y")).collect()
+    images = [r.y for r in rows]
+    assert all(0 <= y < n for y in images) and len(set(images)) == len(rows) > 5900
+    assert all(sum(k * n // 8 <= y < (k + 1) * n // 8 for y in images) > 300 for k in range(8))
+    # Every step has an inverse: no prime divides n, and an odd factor has one modulo a power of two.
+    assert all(n % p for p in mixing._WIDE_PRIMES)
+
+
 def test_shards_are_drawn_not_dealt(spark):
     docs = spark.createDataFrame([(i, "w " * 40, "abc"[i % 3]) for i in range(600)], "doc_id bigint, text string, source string")
     _, _, pieces = mixing.mixture(docs, block=4, shard=100)
