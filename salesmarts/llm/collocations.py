@@ -4,8 +4,10 @@ Counting: every word begins a window of up to five words, cut off at a stop. Win
 in the tasks, dealt out by ranges of their order and sorted; one pass over a range then yields
 the counts of all sequences of one to five words, as each is a beginning of adjacent windows.
 Only the few sequences at a range's ends need sums of several ranges. A phrase that counts has
-no rarer word, so windows also end before words that are too rare, as far as a bit table of
-fixed size tells; words it mistakes for others cost work, not counts.
+no rarer word and no rarer pair of words, so words and then pairs (by a hash, which can only add
+to their counts) are counted first, and windows begin and go on with frequent pairs only, as far
+as two bit tables of fixed size tell. What these mistake for frequent costs work, not counts;
+the fuller they are, the nearer come the windows to one per word.
 
 Scoring: the counts are kept in two orders. Read by their words from the first on, each sequence
 comes after its own beginnings and before its extensions to the right; read from the last word
@@ -33,11 +35,11 @@ from salesmarts.llm import common
 LONGEST, LEAST_COUNT, COVERED_PERCENT, TOP = 5, 100, 100, 2000
 #: Bytes of text whose windows are summed at a time, and distinct words whose counts are.
 GATHERED, COUNTED = 6 << 20, 200_000
-#: Bits of the table of words that are frequent enough (8 MB).
+#: Bits of the table of words, and of that of pairs, that are frequent enough (8 MB each).
 TABLE_BITS = 1 << 26
 #: Words of text, or sequences, that a part is to hold; beyond ``MOST_PARTS`` parts get larger.
 #: A part is sorted, and spilled, by Spark and read in one pass, so it never is held whole.
-PART_WORDS, PART_GRAMS, MOST_PARTS = 1 << 20, 200_000, 8192
+PART_WORDS, PART_GRAMS, MOST_PARTS = 1 << 21, 200_000, 8192
 #: Ranges per part, so that parts are about equal, and sampled rows per range.
 RANGES, SAMPLED = 2, 16
 #: Candidates of a language that are ranked in one group; more are ranked in several first.
@@ -107,11 +109,10 @@ def word_counts(texts: DataFrame, least: int) -> DataFrame:
     return common.written(sums.where(F.col("word").isNull() | (F.col("f") >= least)), "word-counts")
 
 
-def _frequent(counts: DataFrame) -> np.ndarray:
-    """Bit table of the words of ``counts``, of fixed size whatever their number."""
-    place = F.pmod(F.xxhash64("lang", "word"), F.lit(TABLE_BITS)) + 1
-    places = counts.where("word IS NOT NULL").select(place.alias("place"))
-    slots = places.groupBy(F.expr("bitmap_bucket_number(place)").alias("slot"))
+def _bits(places: DataFrame) -> np.ndarray:
+    """Bit table of the hashes ``place``, of fixed size whatever their number."""
+    place = (F.pmod(F.col("place"), F.lit(TABLE_BITS)) + 1).alias("place")
+    slots = places.select(place).groupBy(F.expr("bitmap_bucket_number(place)").alias("slot"))
     table = np.zeros(TABLE_BITS // 8, np.uint8)
     for r in slots.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bits")).collect():
         at = (r["slot"] - 1) * 4096
@@ -119,44 +120,76 @@ def _frequent(counts: DataFrame) -> np.ndarray:
     return table
 
 
+def _has(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = (hashes & np.uint64(TABLE_BITS - 1)).astype(np.int64)
+    return (table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
 # Windows
 
+_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
-def _windows(words: list[bytes], lang: str, table: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Distinct words in order, distinct windows in order (places of words from 1, 0 for none)
-    and how often each window begins."""
+
+def _places(words: list[bytes], lang: str, table: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct frequent words in order; per word of the text its place among them from 1, or 0,
+    with some more 0 at the end; per place the hash of the pair that begins there, or 0."""
     seed = xxhash.xxh64_intdigest(lang.encode(), 42)
-    distinct = set(words)
-    distinct.discard(b"\n")
-    places = [xxhash.xxh64_intdigest(w, seed) % TABLE_BITS for w in distinct]
-    known = sorted(w for w, p in zip(distinct, places, strict=True) if table[p >> 3] >> (p & 7) & 1)
+    distinct = sorted(set(words) - {b"\n"})
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in distinct), np.uint64, len(distinct))
+    keep = _has(table, hashes)
+    known = [w for w, k in zip(distinct, keep.tolist(), strict=True) if k]
     index = {w: k for k, w in enumerate(known, 1)}
-    ids = np.zeros(len(words) + LONGEST, np.uint64)
-    ids[: len(words)] = np.fromiter((index.get(w, 0) for w in words), np.uint64, len(words))
-    first = np.flatnonzero(ids)
-    columns = [ids[first]]
-    for k in range(1, LONGEST):
-        columns.append(np.where(columns[-1] > 0, ids[first + k], np.uint64(0)))
-    shift = np.uint64(32)
-    packed = [columns[0] << shift | columns[1], columns[2] << shift | columns[3], columns[4]]
+    ids = np.zeros(len(words) + LONGEST, np.int64)
+    ids[: len(words)] = np.fromiter((index.get(w, 0) for w in words), np.int64, len(words))
+    of = np.append(np.uint64(0), hashes[keep])[ids]
+    pairs = (of[:-1] * _MIX[0]) ^ ((of[1:] + _MIX[1]) * _MIX[1])
+    pairs ^= pairs >> np.uint64(29)
+    return known, ids, np.where((ids[:-1] > 0) & (ids[1:] > 0), pairs, np.uint64(0))
+
+
+def _frequent_pairs(texts: DataFrame, table: np.ndarray, least: int) -> np.ndarray:
+    sent = texts.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for texts in _gathered(batches):
+            found = [_places(_words(part), lang, sent.value)[2] for lang, part in texts.items()]
+            pairs, n = np.unique(np.concatenate(found), return_counts=True)
+            some = pairs != 0
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[some].view(np.int64)), pa.array(n[some])], ["place", "n"])
+
+    counted = common.importable(texts).mapInArrow(run, "place bigint, n bigint")
+    return _bits(counted.groupBy("place").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
+
+
+def _windows(words: list[bytes], lang: str, tables: tuple[np.ndarray, np.ndarray]):
+    """Distinct words in order, distinct windows in order (places of words from 1, 0 for none)
+    and how often each window begins."""
+    known, ids, pairs = _places(words, lang, tables[0])
+    goes_on = (pairs != 0) & _has(tables[1], pairs)
+    first = np.flatnonzero(goes_on)
+    columns = [ids[first], ids[first + 1]]
+    more = np.ones(len(first), bool)
+    for k in range(2, LONGEST):
+        more = more & goes_on[first + k - 1]
+        columns.append(np.where(more, ids[first + k], 0))
+    packed = [columns[0] << 32 | columns[1], columns[2] << 32 | columns[3], columns[4]]
     order = np.lexsort(packed[::-1])
     packed = [p[order] for p in packed]
     new = np.ones(len(order), bool)
     new[1:] = (packed[0][1:] != packed[0][:-1]) | (packed[1][1:] != packed[1][:-1]) | (packed[2][1:] != packed[2][:-1])
     at = np.flatnonzero(new)
-    rows = np.stack([c[order][at].astype(np.int64) for c in columns], axis=1)
-    return known, rows, np.diff(np.append(at, len(order)))
+    return known, np.stack([c[order][at] for c in columns], axis=1), np.diff(np.append(at, len(order)))
 
 
-def _sum_windows(texts: DataFrame, table: np.ndarray, cuts: list[tuple] | None):
-    """lang, w0 to w4, n of windows summed within a task, and the range of each by ``cuts``."""
-    sent = texts.sparkSession.sparkContext.broadcast((table, cuts or []))
+def _sum_windows(texts: DataFrame, tables: tuple[np.ndarray, np.ndarray], cuts: list[tuple]):
+    """range, lang, w0 to w4, n of windows summed within a task; the range of each is by ``cuts``."""
+    sent = texts.sparkSession.sparkContext.broadcast((tables, cuts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, cuts = sent.value
+        tables, cuts = sent.value
         for texts in _gathered(batches):
             for lang, part in texts.items():
-                known, rows, n = _windows(_words(part), lang, table)
+                known, rows, n = _windows(_words(part), lang, tables)
                 names = [None, *known]
                 low = bisect_left(cuts, (lang,))
                 # A cut begins its range: where it would stand among the windows.
@@ -194,7 +227,8 @@ def _flat(row) -> tuple:
 
 
 def _prefix_sums(least: int):
-    """Sums of all beginnings of sorted windows (range, lang, w0 to w4, n) with ``least`` or more.
+    """Sums of all beginnings of two words or more of sorted windows (range, lang, w0 to w4, n) with
+    ``least`` or more.
 
     Those that touch an end of a range or batch are sent whatever their sum, as there may be
     more of them elsewhere.
@@ -217,7 +251,7 @@ def _prefix_sums(least: int):
                 column = batch.column(2 + k)
                 equal = pc.fill_null(pc.equal(column.slice(1), column.slice(0, rows - 1)), False)
                 same[1:] &= equal.to_numpy(zero_copy_only=False)
-                if k < 0:
+                if k < 1:
                     continue
                 valid = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False))
                 begin = np.flatnonzero(~same[valid])
@@ -237,18 +271,20 @@ def sequence_counts(texts: DataFrame, least: int = LEAST_COUNT) -> tuple[DataFra
     in ``texts`` (lang, text), and lang, n: all words of each language."""
     counts = word_counts(texts, least)
     sizes = counts.where("word IS NULL").select("lang", F.col("f").alias("n"))
-    table = _frequent(counts)
+    single = counts.where("word IS NOT NULL")
+    table = _bits(single.select(F.xxhash64("lang", "word").alias("place")))
+    tables = table, _frequent_pairs(texts, table, least)
     words = sizes.agg(F.sum("n")).first()[0] or 0
     parts = min(MOST_PARTS, max(1, -(-words // PART_WORDS)))
     drawn = min(1.0, parts * RANGES * SAMPLED * 4 / max(1, texts.count()))
-    cuts = _cuts(_sum_windows(texts.sample(drawn, 5), table, None), ["lang", *_W], parts * RANGES)
-    dealt = _sum_windows(texts, table, cuts).repartition(parts, "range")
+    cuts = _cuts(_sum_windows(texts.sample(drawn, 5), tables, []), ["lang", *_W], parts * RANGES)
+    dealt = _sum_windows(texts, tables, cuts).repartition(parts, "range")
     ordered = dealt.sortWithinPartitions("range", "lang", *_W)
     named = ", ".join(f"{w} string" for w in _W)
     sums = ordered.mapInArrow(_prefix_sums(least), f"lang string, {named}, f bigint")
     sums = sums.groupBy("lang", *_W).agg(F.sum("f").alias("f")).where(F.col("f") >= least)
     grams = sums.select("lang", F.array_compact(F.array(*_W)).alias("words"), "f")
-    return common.written(grams, "sequences"), sizes
+    return common.written(grams.union(single.select("lang", F.array("word"), "f")), "sequences"), sizes
 
 
 # Streams of counts

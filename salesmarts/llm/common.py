@@ -55,8 +55,10 @@ def texts_of(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> Data
     )
 
 
-def blocks(batches: Iterator[pa.RecordBatch], text_at: int = 1) -> Iterator[pa.RecordBatch]:
-    """Row slices of about ``BLOCK_BYTES`` of text; a longer text is a slice of its own."""
+def blocks(
+    batches: Iterator[pa.RecordBatch], text_at: int = 1, size: int = BLOCK_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Row slices of about ``size`` bytes of text; a longer text is a slice of its own."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -65,7 +67,7 @@ def blocks(batches: Iterator[pa.RecordBatch], text_at: int = 1) -> Iterator[pa.R
         start = 0
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, before + BLOCK_BYTES, "right")))
+            stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
             yield batch.slice(start, stop - start)
             start = stop
 

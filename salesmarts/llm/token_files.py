@@ -19,6 +19,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,22 +29,31 @@ from salesmarts.llm import common
 GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 128 << 10, 2000
 #: Text that a part is to hold, estimated from rows; beyond ``MOST_PARTS`` parts get larger.
 PART_ROWS, MOST_PARTS = 8192, 50_000
-#: Chunks whose ids are kept for later texts; beyond, the memo starts afresh.
-MEMO_CHUNKS = 1_000_000
-#: Bytes of text in one entry of an encoding batch.
-SEGMENT_BYTES = 2 << 10
+#: Words whose ids are kept for later texts; beyond, the memo starts afresh.
+MEMO_WORDS = 500_000
+#: Bytes of text whose chunks are told apart at a time.
+BLOCK_BYTES = 6 << 20
+#: Words in one entry of an encoding batch.
+SEGMENT = 256
 
 # The settings of word tokenizers whose tokens never reach over a space.
 _NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 _CUT = re.compile("[ \n]")
 # One word of the splitting pattern, whatever stands beside it after a space.
-_LETTERS = re.compile("[a-z\u00e0-\u00f6\u00f8-\u00ff]+")
+_LETTERS = r"^[a-z\x{00e0}-\x{00f6}\x{00f8}-\x{00ff}]+$"
 # A letter or digit and a stop after it are never in one token. U+0130 becomes a letter and a
 # mark when lower-cased, and a mark goes with the stop.
-_STOP = re.compile("(?<=[A-Za-z0-9\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u012f\\u0131-\\u024f])[.,;:!?]")
-_STOPS = ".,;:!?"
-# Signs beyond Latin letters, some of which are lower-cased by what stands beside them.
-_OTHER = re.compile("[^\\x00-\\u024f]")
+_STOP = r"[A-Za-z0-9\x{00c0}-\x{00d6}\x{00d8}-\x{00f6}\x{00f8}-\x{012f}\x{0131}-\x{024f}][.,;:!?]$"
+# Signs beyond Latin letters, among them marks.
+_OTHER = r"[^\x{0000}-\x{024f}]"
+
+
+def _taken(flat: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Stretches ``which`` of ``flat``, which holds stretches of ``sizes`` one after another."""
+    starts = np.cumsum(sizes) - sizes
+    n = sizes[which]
+    before = np.cumsum(n) - n
+    return flat[np.repeat(starts[which] - before, n) + np.arange(int(n.sum()))]
 
 
 class Encoder:
@@ -93,58 +103,81 @@ class Encoder:
     def _learn(self, words: list[str]) -> None:
         """Ids of words, encoded joined and cut apart again: words of letters only by the ids that
         end a word, others by those of a mark between them."""
-        lettered = [w for w in words if _LETTERS.fullmatch(w)] if self.ends is not None else []
-        others = sorted(set(words).difference(lettered))
+        plain = pc.match_substring_regex(pa.array(words, pa.string()), _LETTERS).to_pylist() if self.ends is not None else [False] * len(words)
+        lettered = [w for w, p in zip(words, plain, strict=True) if p]
+        others = [w for w, p in zip(words, plain, strict=True) if not p]
         held = [w for w in others if any(a in w for a in self.added)]
         self.known.update(zip(held, (x.tobytes() for x in self._encode(held)), strict=True))
-        for part, ids in self._joined(lettered, " ", self.plain):
-            self._cut(part, ids, np.flatnonzero(self.ends[ids]) + 1, 0)
-        for part, ids in self._joined([w for w in others if w not in self.known], self.mark, self.tokenizer):
-            self._cut(part, ids, np.append(np.flatnonzero(ids == self.mark_id), len(ids)), 1)
-
-    def _joined(self, words: list[str], by: str, tokenizer) -> Iterator[tuple[list[str], np.ndarray]]:
-        """Segments of words with the ids of the words joined."""
-        parts, size = [[]], 0
-        for word in words:
-            if size > SEGMENT_BYTES:
-                parts.append([])
-                size = 0
-            parts[-1].append(word)
-            size += len(word.encode()) + 1
-        parts = [p for p in parts if p]
-        found = tokenizer.encode_batch_fast([by.join(p) for p in parts], add_special_tokens=False)
-        yield from ((part, np.array(e.ids, "<u4")) for part, e in zip(parts, found, strict=True))
-
-    def _cut(self, part: list[str], ids: np.ndarray, ends: np.ndarray, skipped: int) -> None:
-        starts = [0, *(ends[:-1] + skipped).tolist()]
+        others = [w for w in others if w not in self.known]
+        if lettered:
+            ids = self._joined(lettered, " ", self.plain)
+            self._cut(lettered, ids, np.flatnonzero(self.ends[ids]) + 1, 0)
+        if others:
+            # A mark at the end of every segment, too, so that all are cut alike.
+            ids = self._joined(others, self.mark, self.tokenizer, self.mark)
+            self._cut(others, ids, np.flatnonzero(ids == self.mark_id), 1)
+
+    def _joined(self, words: list[str], by: str, tokenizer, last: str = "") -> np.ndarray:
+        """The ids of all words, encoded joined in segments."""
+        segments = [by.join(words[k : k + SEGMENT]) + last for k in range(0, len(words), SEGMENT)]
+        found = tokenizer.encode_batch_fast(segments, add_special_tokens=False)
+        return np.concatenate([np.array(e.ids, "<u4") for e in found])
+
+    def _cut(self, words: list[str], ids: np.ndarray, ends: np.ndarray, skipped: int) -> None:
         raw = ids.tobytes()
-        self.known.update((w, raw[4 * s : 4 * e]) for w, s, e in zip(part, starts, ends.tolist(), strict=True))
+        ends = 4 * ends
+        starts = [0, *(ends[:-1] + 4 * skipped).tolist()]
+        self.known.update(zip(words, [raw[s:e] for s, e in zip(starts, ends.tolist(), strict=True)], strict=True))
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """The texts' ids as little-endian unsigned 32-bit integers."""
-        if not self.cuttable:
-            return [x.tobytes() for x in self._encode(texts)]
-        # Latin letters are lower-cased here as the tokenizer does, so that fewer chunks differ.
-        lowered = (t if "<" in t or _OTHER.search(t) else t.lower() for t in texts)
-        cut = [t.replace("\n", " ").split(" ") for t in lowered]
-        if len(self.known) > MEMO_CHUNKS:
+    def _of(self, words: list[str]) -> list[bytes]:
+        """The ids of words, none of which comes twice."""
+        if len(self.known) > MEMO_WORDS:
             self.known = {"": b""}
-        known, new = self.known, set()
-        for chunks in cut:
-            new.update(filterfalse(known.__contains__, chunks))
-        stopped = {c: c[:-1] for c in new if _STOP.match(c, len(c) - 1)}
-        self._learn(list(new.difference(stopped).union(stopped.values(), _STOPS).difference(known)))
-        for chunk, word in stopped.items():
-            known[chunk] = known[word] + known[chunk[-1]]
-        return [b"".join(map(known.__getitem__, c)) for c in cut]
+        found = list(map(self.known.get, words))
+        new = [k for k, ids in enumerate(found) if ids is None]
+        if new:
+            self._learn([words[k] for k in new])
+            for k in new:
+                found[k] = self.known[words[k]]
+        return found
+
+    def ids(self, texts: pa.Array, end: bytes = b"") -> pa.ListArray:
+        """The ids of each text, and the bytes of ``end`` after them."""
+        texts = pc.fill_null(texts, "")
+        if not self.cuttable:
+            found = [x.tobytes() + end for x in self._encode(texts.to_pylist())]
+            return _listed(b"".join(found), np.array([len(x) // 4 for x in found], np.int64))
+        # ASCII letters are lower-cased here as the tokenizer does, so that fewer chunks differ;
+        # not beside marks, which would join them otherwise, nor in special strings.
+        other = pc.or_(pc.match_substring(texts, "<"), pc.match_substring_regex(texts, _OTHER))
+        texts = pc.replace_substring(pc.if_else(other, texts, pc.ascii_lower(texts)), "\n", " ")
+        cut = pc.split_pattern(texts, " ")
+        chunks = cut.flatten().dictionary_encode()
+        # A chunk is a word and a stop, or a word alone.
+        stopped = pc.match_substring_regex(chunks.dictionary, _STOP)
+        short = pc.utf8_slice_codeunits(chunks.dictionary, 0, -1)
+        words = pc.if_else(stopped, short, chunks.dictionary).dictionary_encode()
+        stops = pc.if_else(stopped, pc.utf8_slice_codeunits(chunks.dictionary, -1), "").dictionary_encode()
+        parts = [*self._of(words.dictionary.to_pylist()), *self._of(stops.dictionary.to_pylist())]
+        pair = np.stack((words.indices.to_numpy(), stops.indices.to_numpy() + len(words.dictionary)), axis=1).ravel()
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        pool = _taken(np.frombuffer(b"".join(parts), "<u4"), sizes, pair)
+        sizes = np.append(sizes[pair].reshape(-1, 2).sum(axis=1), len(end) // 4)
+        # Every text's chunks, then the end as another one.
+        lasts = cut.offsets.to_numpy()[1:].astype(np.int64) - cut.offsets.to_numpy()[0]
+        which = np.insert(chunks.indices.to_numpy(), lasts, len(sizes) - 1)
+        values = _taken(np.append(pool, np.frombuffer(end, "<u4")), sizes, which)
+        until = np.cumsum(sizes[which])[lasts + np.arange(len(lasts))]
+        return _listed(values.tobytes(), np.diff(until, prepend=0))
 
 
 _ENCODERS: dict[int, Encoder] = {}  # by the tokenizer's content, one per Python worker
 
 
-def _listed(ids: list[bytes]) -> pa.Array:
-    offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids])))
-    values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(ids))])
+def _listed(raw: bytes, sizes: np.ndarray) -> pa.ListArray:
+    """Lists of so many ids each."""
+    offsets = np.concatenate(([0], np.cumsum(sizes)))
+    values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(raw)])
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 
 
@@ -180,8 +213,8 @@ def write_token_files(
         if key not in _ENCODERS:
             _ENCODERS[key] = Encoder(sent.value)
         before = 0
-        for block in common.blocks(batches):
-            lists = _listed([x + end for x in _ENCODERS[key].ids(common.strings(block.column(1)))])
+        for block in common.blocks(batches, size=BLOCK_BYTES):
+            lists = _ENCODERS[key].ids(block.column(1), end)
             n = np.diff(lists.offsets.to_numpy()).astype(np.int64)
             starts = before + np.cumsum(n) - n
             before += int(n.sum())
