@@ -552,7 +552,7 @@ def raw_json_view(t: BoundTables) -> DataFrame:
 def _run_config(t: BoundTables, path: str, tag: str, **more) -> PipelineConfig:
     return PipelineConfig(
         bronze_schema=f"bronze_{tag}", silver_schema=f"silver_{tag}", gold_schema=f"gold_{tag}",
-        location=path, ref_date=t.spark.range(1).select(t.reference_day()).first()[0], **more,
+        location=path, ref_date=t.reference_date(), **more,
     )
 
 

@@ -219,6 +219,10 @@ class BoundTables:
         """The day after the last order."""
         return self._day_after("orders", "o_orderdate")
 
+    def reference_date(self) -> dt.date | None:
+        self.reference_day()
+        return self._days["orders", "o_orderdate"]
+
     # Silver tables
 
     def silver_customers(self) -> DataFrame:

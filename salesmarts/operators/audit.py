@@ -13,10 +13,10 @@ FOOTERS = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregate
 
 def layer_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table with its number of rows, counted in one job."""
-    # Where a folder has no rows, the sum of its files' counts is null.
-    none = F.lit(0).cast("bigint")
+    # Summed up, because the pushed-down count of a folder without rows is null, not 0.
+    total = F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("row_count")
     counts = [
-        df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), F.coalesce("n", none).alias("row_count"))
+        df.agg(F.count("*").alias("n")).agg(total).select(F.lit(name).alias("table_name"), "row_count")
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)
@@ -25,9 +25,10 @@ def layer_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def stored_row_counts(spark: SparkSession, locations: dict[str, str]) -> DataFrame:
     """The same of Parquet folders, from their footers: no row group is read.
 
-    The counts belong to a session of their own, whose settings choose the scan.
+    The counts belong to a session of their own, whose settings choose the scan. No column is
+    read, so it does not matter which one is declared.
     """
     counting = spark.newSession()
     for key, value in FOOTERS.items():
         counting.conf.set(key, value)
-    return layer_row_counts({name: counting.read.parquet(path) for name, path in locations.items()})
+    return layer_row_counts({name: counting.read.schema("any INT").parquet(path) for name, path in locations.items()})

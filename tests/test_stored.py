@@ -117,7 +117,7 @@ def test_stored_counts_read_no_row_group(spark, schema):
     counts = stored_row_counts(spark, {name: table_location(spark, f"{schema}.{name}") for name in made})
     assert rows(counts) == [("a", 7), ("b", 0), ("c", 30)]
     plan = counts._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("PushedAggregation: [COUNT(*)]") == 3 and "FileScan" not in plan
+    assert plan.count("PushedAggregation: [COUNT(*)]") >= 3 and "FileScan" not in plan
     assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
 
 
