@@ -35,6 +35,8 @@ from salesmarts.llm import common
 LONGEST, LEAST_COUNT, COVERED_PERCENT, TOP = 5, 100, 100, 2000
 #: Bytes of text whose windows are summed at a time, and distinct words whose counts are.
 GATHERED, COUNTED = 6 << 20, 200_000
+#: Windows that a task holds before their sums are sent on, and rows it sends at a time.
+HELD, SENT = 3_000_000, 100_000
 #: Bits of the table of words, and of that of pairs, that are frequent enough (8 MB each).
 TABLE_BITS = 1 << 26
 #: Words of text, or sequences, that a part is to hold; beyond ``MOST_PARTS`` parts get larger.
@@ -161,9 +163,8 @@ def _frequent_pairs(texts: DataFrame, table: np.ndarray, least: int) -> np.ndarr
     return _bits(counted.groupBy("place").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
 
 
-def _windows(words: list[bytes], lang: str, tables: tuple[np.ndarray, np.ndarray]):
-    """Distinct words in order, distinct windows in order (places of words from 1, 0 for none)
-    and how often each window begins."""
+def _windows(words: list[bytes], lang: str, tables: tuple[np.ndarray, np.ndarray]) -> tuple[list[bytes], np.ndarray]:
+    """Distinct words, and windows of places among them from 1, with 0 for none."""
     known, ids, pairs = _places(words, lang, tables[0])
     goes_on = (pairs != 0) & _has(tables[1], pairs)
     first = np.flatnonzero(goes_on)
@@ -172,13 +173,44 @@ def _windows(words: list[bytes], lang: str, tables: tuple[np.ndarray, np.ndarray
     for k in range(2, LONGEST):
         more = more & goes_on[first + k - 1]
         columns.append(np.where(more, ids[first + k], 0))
-    packed = [columns[0] << 32 | columns[1], columns[2] << 32 | columns[3], columns[4]]
-    order = np.lexsort(packed[::-1])
-    packed = [p[order] for p in packed]
+    return known, np.stack(columns, axis=1).astype(np.int32)
+
+
+def _summed(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows in order with the sums of their ``n``."""
+    wide = rows.astype(np.int64)
+    keys = [wide[:, 0] << 32 | wide[:, 1], wide[:, 2] << 32 | wide[:, 3], wide[:, 4]]
+    order = np.lexsort(keys[::-1])
+    keys = [k[order] for k in keys]
     new = np.ones(len(order), bool)
-    new[1:] = (packed[0][1:] != packed[0][:-1]) | (packed[1][1:] != packed[1][:-1]) | (packed[2][1:] != packed[2][:-1])
+    new[1:] = (keys[0][1:] != keys[0][:-1]) | (keys[1][1:] != keys[1][:-1]) | (keys[2][1:] != keys[2][:-1])
     at = np.flatnonzero(new)
-    return known, np.stack([c[order][at] for c in columns], axis=1), np.diff(np.append(at, len(order)))
+    return rows[order[at]], np.add.reduceat(n[order], at) if len(at) else n[:0]
+
+
+class _Held:
+    """The windows of one language that a task has met so far, in places among its own words."""
+
+    def __init__(self):
+        self.index: dict[bytes, int] = {}
+        self.rows: list[np.ndarray] = []
+        self.n: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, known: list[bytes], rows: np.ndarray) -> None:
+        rows, n = _summed(rows, np.ones(len(rows), np.int64))
+        index = self.index
+        own = np.fromiter((index.setdefault(w, len(index) + 1) for w in known), np.int32, len(known))
+        self.rows.append(np.append(np.int32(0), own)[rows])
+        self.n.append(n)
+        self.size += len(rows)
+
+    def summed(self) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Words in order, distinct windows in their order, and how often each begins."""
+        known = sorted(self.index)
+        rank = np.zeros(len(known) + 1, np.int32)
+        rank[np.fromiter(map(self.index.__getitem__, known), np.int64, len(known))] = np.arange(1, len(known) + 1)
+        return known, *_summed(rank[np.concatenate(self.rows)], np.concatenate(self.n))
 
 
 def _sum_windows(texts: DataFrame, tables: tuple[np.ndarray, np.ndarray], cuts: list[tuple]):
@@ -187,20 +219,34 @@ def _sum_windows(texts: DataFrame, tables: tuple[np.ndarray, np.ndarray], cuts:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, cuts = sent.value
+        held: dict[str, _Held] = {}
+
+        def ranged(lang: str) -> Iterator[pa.RecordBatch]:
+            known, rows, n = held[lang].summed()
+            names = [None, *known]
+            low = bisect_left(cuts, (lang,))
+            # A cut begins its range: where it would stand among the windows.
+            own = [c[1:] for c in cuts[low : bisect_left(cuts, (lang + "\0",))]]
+            tuples = lambda i: tuple(names[k] for k in rows[i].tolist() if k)
+            at = [bisect_left(range(len(rows)), c, key=tuples) for c in own]
+            ranges = low + np.searchsorted(np.array(at, np.int64), np.arange(len(rows)), "right")
+            words = pa.array(known, pa.binary()).cast(pa.string())
+            for start in range(0, len(rows), SENT):
+                part = slice(start, start + SENT)
+                size = len(rows[part])
+                columns = [pa.array(ranges[part].astype(np.int32)), pa.array([lang] * size, pa.string())]
+                columns += [words.take(pa.array(rows[part, k] - 1, mask=rows[part, k] == 0)) for k in range(LONGEST)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(n[part])], ["range", "lang", *_W, "n"])
+
         for texts in _gathered(batches):
             for lang, part in texts.items():
-                known, rows, n = _windows(_words(part), lang, tables)
-                names = [None, *known]
-                low = bisect_left(cuts, (lang,))
-                # A cut begins its range: where it would stand among the windows.
-                own = [c[1:] for c in cuts[low : bisect_left(cuts, (lang + "\0",))]]
-                tuples = lambda i: tuple(names[k] for k in rows[i].tolist() if k)
-                at = [bisect_left(range(len(rows)), c, key=tuples) for c in own]
-                ranges = low + np.searchsorted(np.array(at, np.int64), np.arange(len(rows)), "right")
-                words = pa.array(known, pa.binary()).cast(pa.string())
-                columns = [pa.array(ranges.astype(np.int32)), pa.array([lang] * len(rows), pa.string())]
-                columns += [words.take(pa.array(rows[:, k] - 1, mask=rows[:, k] == 0)) for k in range(LONGEST)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(n)], ["range", "lang", *_W, "n"])
+                held.setdefault(lang, _Held()).add(*_windows(_words(part), lang, tables))
+            if sum(h.size for h in held.values()) > HELD:
+                for lang in held:
+                    yield from ranged(lang)
+                held.clear()
+        for lang in held:
+            yield from ranged(lang)
 
     named = ", ".join(f"{w} string" for w in _W)
     return common.importable(texts).mapInArrow(run, f"range int, lang string, {named}, n bigint")

@@ -73,6 +73,8 @@ def test_by_brute_force(spark, monkeypatch, rows, parts, grams, ranked, least, p
 def test_sequence_counts_are_whole_whatever_the_ranges(spark, monkeypatch, rows):
     monkeypatch.setattr(collocations, "PART_WORDS", 40)
     monkeypatch.setattr(collocations, "GATHERED", 300)
+    monkeypatch.setattr(collocations, "HELD", 200)
+    monkeypatch.setattr(collocations, "SENT", 7)
     docs = spark.createDataFrame(rows, "lang string, text string").repartition(7)
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
     grams, sizes = collocations.sequence_counts(texts, 3)
