@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesmarts.functions.dates import iso_date
 from salesmarts.functions.numeric import (
@@ -114,16 +115,22 @@ def conform(raw: DataFrame, rules: dict[str, Rule], columns: Sequence[str] | Non
     return raw.select(*[rules[n][1](F.col(rules[n][0])).alias(n) for n in names])
 
 
+_NEVER_BLANK = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+
 def rejected(raw: DataFrame, rules: dict[str, Rule]) -> list[Column]:
     """Per column of ``rules`` the number of raw values that are not blank but become null.
 
     Aggregates to observe while a table is written: values lost in conversion are then counted
-    without running the plan again.
+    without running the plan again. Numbers, dates and truth values are never blank and so are
+    not turned into text.
     """
     counts = []
     for name, (source, rule) in rules.items():
-        given = F.trim(F.col(source).cast("string")) != ""
-        counts.append(F.count_if(given & rule(F.col(source)).isNull()).alias(name))
+        value = F.col(source)
+        never_blank = isinstance(raw.select(source).schema[0].dataType, _NEVER_BLANK)
+        given = value.isNotNull() if never_blank else F.trim(value.cast("string")) != ""
+        counts.append(F.count_if(rule(value).isNull() & given).alias(name))
     return counts
 
 

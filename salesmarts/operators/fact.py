@@ -55,9 +55,11 @@ def _sums(lines: DataFrame, *keys: str) -> DataFrame:
         ordinary = F.col("revenue_cents")
         large = F.col("large_cents") if "large_cents" in lines.columns else F.lit(None)
     else:
-        cents = (F.col("line_revenue") * 100).cast(CENTS)
-        plain = F.abs(F.col("line_revenue")) < 10**7
-        ordinary, large = F.when(plain, cents.cast("bigint")), F.when(~plain, cents)
+        # Below 10^7 the double closest to an amount times 100 rounds to its cents.
+        amount = F.col("line_revenue").cast("double")
+        plain = F.abs(amount) < 10.0**7
+        ordinary = F.when(plain, F.rint(amount * 100).cast("bigint"))
+        large = F.when(~plain, (F.col("line_revenue") * 100).cast(CENTS))
     return lines.groupBy(*keys).agg(
         total_cents(ordinary, large).alias("revenue_cents"), F.sum("quantity").alias("units")
     )

@@ -124,3 +124,12 @@ def test_employees_and_rename(spark):
     raw = spark.createDataFrame([(1, " Ann ", "Lee", None), (1, "Ann", "Lee", None)], DATABASE_TABLES["employees"])
     assert rows(conform.silver_employees(raw)) == [(1, "Ann", "Lee", None)]
     assert conform.silver_employees(raw).columns[0] == "employee_id"
+
+
+def test_rejected_values_are_counted_without_turning_numbers_into_text(spark):
+    raw = [(1.5, "x", "2024-01-01"), (float("nan"), " ", None), (None, "7", "soon"), (1e30, None, "")]
+    df = spark.createDataFrame(raw, "price double, n string, day string")
+    rules = {"price": ("PRICE", conform.to_cents), "n": ("n", conform._bigint), "day": ("day", conform.iso_date)}
+    counted = df.agg(*conform.rejected(df, rules))
+    assert counted.first()[:] == (2, 1, 1)
+    assert "cast(price" not in counted._jdf.queryExecution().analyzed().toString()

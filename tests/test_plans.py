@@ -194,3 +194,24 @@ def test_hot_key_sends_one_row_per_map_task(large):
     plan.executeCollect()
     assert "partial_max" in plan.toString()
     assert kept.collect()[0][:] == (1, 79999)
+
+
+def test_extremes_round_the_extremes_only(spark):
+    amounts = ["-0.01", "9999999.99", "10000000.00", None, "2.50"]
+    df = spark.createDataFrame([(a, a) for a in amounts], "t string, a string").withColumn("a", F.col("a").cast("decimal(38,2)"))
+    found = queries._extremes(df)
+    want = {"rows": "5", "nulls": "1", "least": "-1", "greatest": "1000000000"}
+    assert {r.field: r.value for r in found.where("row_key = 'a'").collect()} == want
+    assert {r.field: r.value for r in found.where("row_key = 't'").collect()} == want | {"least": "-0.01", "greatest": "9999999.99"}
+    plan = _plan(found)
+    assert "min(a" in plan and "min(cast(round" not in plan
+
+
+def test_sums_of_a_fact_multiply_no_decimal_of_an_ordinary_line(spark):
+    amounts = ["-0.01", "9999999.99", "10000000.00", None, "-10000000.01", "0.29", "1234567890123456789012345.67"]
+    lines = spark.createDataFrame([(i // 4, a, 1) for i, a in enumerate(amounts)], "product_id bigint, line_revenue string, quantity bigint")
+    sums = fact.product_sums(lines.withColumn("line_revenue", F.col("line_revenue").cast("decimal(38,2)")))
+    assert {r.product_id: int(r.revenue_cents) for r in sums.collect()} == {
+        0: 1999999998, 1: 123456789012345678901234567 - 1000000001 + 29,
+    }
+    assert "rint" in _plan(sums).lower()
