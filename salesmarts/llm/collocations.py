@@ -1,13 +1,13 @@
 """Phrases whose words belong together, from sorted streams of counts of word sequences.
 
-Counting: every word begins a window of up to five words, cut off at a stop. Windows are summed
-in the tasks, dealt out by ranges of their order and sorted; one pass over a range then yields
-the counts of all sequences of one to five words, as each is a beginning of adjacent windows.
-Only the few sequences at a range's ends need sums of several ranges. A phrase that counts has
-no rarer word and no rarer pair of words, so words and then pairs (by a hash, which can only add
-to their counts) are counted first, and windows begin and go on with frequent pairs only, as far
-as two bit tables of fixed size tell. What these mistake for frequent costs work, not counts;
-the fuller they are, the nearer come the windows to one per word.
+Counting: a phrase that counts has no rarer part, so words, pairs and triples are counted one
+length after the other, each only where its two parts of a word less are frequent as far as a bit
+table of fixed size tells. Longer sequences are fewer and are counted together: every word that
+begins four that may be frequent begins a window of up to five words, cut off where a triple is
+rare. Windows are summed in the tasks, dealt out by ranges of their order and sorted; one pass
+over a range then yields the counts of all their beginnings, as each is one of adjacent windows.
+Only the few sequences at a range's ends need sums of several ranges. What the tables mistake for
+frequent costs work, not counts; of any length there is at most one row per word of text.
 
 Scoring: the counts are kept in two orders. Read by their words from the first on, each sequence
 comes after its own beginnings and before its extensions to the right; read from the last word
@@ -37,8 +37,10 @@ LONGEST, LEAST_COUNT, COVERED_PERCENT, TOP = 5, 100, 100, 2000
 GATHERED, COUNTED = 6 << 20, 200_000
 #: Windows that a task holds before their sums are sent on, and rows it sends at a time.
 HELD, SENT = 3_000_000, 100_000
-#: Bits of the table of words, and of that of pairs, that are frequent enough (8 MB each).
+#: Bits of the table of one length's sequences that are frequent enough (8 MB each).
 TABLE_BITS = 1 << 26
+#: Words of the longest sequences that are counted length by length; longer ones are by windows.
+BY_LENGTH = 3
 #: Words of text, or sequences, that a part is to hold; beyond ``MOST_PARTS`` parts get larger.
 #: A part is sorted, and spilled, by Spark and read in one pass, so it never is held whole.
 PART_WORDS, PART_GRAMS, MOST_PARTS = 1 << 21, 200_000, 8192
@@ -129,49 +131,76 @@ def _has(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 # Windows
 
-_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(1 << 63))
+
+
+def _hashes(words: list[bytes], lang: str) -> np.ndarray:
+    seed = xxhash.xxh64_intdigest(lang.encode(), 42)
+    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
 def _places(words: list[bytes], lang: str, table: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Distinct frequent words in order; per word of the text its place among them from 1, or 0,
-    with some more 0 at the end; per place the hash of the pair that begins there, or 0."""
-    seed = xxhash.xxh64_intdigest(lang.encode(), 42)
+    with some more 0 at the end; the hashes of the words at these places, or 0."""
     distinct = sorted(set(words) - {b"\n"})
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in distinct), np.uint64, len(distinct))
+    hashes = _hashes(distinct, lang)
     keep = _has(table, hashes)
     known = [w for w, k in zip(distinct, keep.tolist(), strict=True) if k]
     index = {w: k for k, w in enumerate(known, 1)}
     ids = np.zeros(len(words) + LONGEST, np.int64)
     ids[: len(words)] = np.fromiter((index.get(w, 0) for w in words), np.int64, len(words))
-    of = np.append(np.uint64(0), hashes[keep])[ids]
-    pairs = (of[:-1] * _MIX[0]) ^ ((of[1:] + _MIX[1]) * _MIX[1])
-    pairs ^= pairs >> np.uint64(29)
-    return known, ids, np.where((ids[:-1] > 0) & (ids[1:] > 0), pairs, np.uint64(0))
+    return known, ids, np.append(np.uint64(0), hashes[keep] | _MIX[2])[ids]
+
+
+def _adjacent(hashes: np.ndarray) -> np.ndarray:
+    """Where two frequent sequences of one length make one of a word more."""
+    return np.flatnonzero((hashes[:-1] != 0) & (hashes[1:] != 0))
 
 
-def _frequent_pairs(texts: DataFrame, table: np.ndarray, least: int) -> np.ndarray:
-    sent = texts.sparkSession.sparkContext.broadcast(table)
+def _longer(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hashes, never 0, of the sequences of a word more that begin at ``at``."""
+    found = (hashes[at] * _MIX[0]) ^ ((hashes[at + 1] + _MIX[1]) * _MIX[1])
+    return found ^ found >> np.uint64(29) | _MIX[2]
+
+
+def _table(counted: DataFrame, length: int) -> np.ndarray:
+    """Bit table of sequences (lang, phrase) of ``length`` words, by the hashes of ``_longer``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for texts in _gathered(batches):
-            found = [_places(_words(part), lang, sent.value)[2] for lang, part in texts.items()]
-            pairs, n = np.unique(np.concatenate(found), return_counts=True)
-            some = pairs != 0
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[some].view(np.int64)), pa.array(n[some])], ["place", "n"])
-
-    counted = common.importable(texts).mapInArrow(run, "place bigint, n bigint")
-    return _bits(counted.groupBy("place").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
-
-
-def _windows(words: list[bytes], lang: str, tables: tuple[np.ndarray, np.ndarray]) -> tuple[list[bytes], np.ndarray]:
-    """Distinct words, and windows of places among them from 1, with 0 for none."""
-    known, ids, pairs = _places(words, lang, tables[0])
-    goes_on = (pairs != 0) & _has(tables[1], pairs)
-    first = np.flatnonzero(goes_on)
-    columns = [ids[first], ids[first + 1]]
+        for batch in batches:
+            found: dict[str, list[bytes]] = {}
+            for lang, phrase in zip(batch.column(0).to_pylist(), common.utf8(batch.column(1)), strict=True):
+                found.setdefault(lang, []).extend(phrase.split(b" "))
+            for lang, words in found.items():
+                hashes = (_hashes(words, lang) | _MIX[2]).reshape(-1, length)
+                while hashes.shape[1] > 1:
+                    at = np.arange(hashes.size).reshape(hashes.shape)[:, :-1]
+                    hashes = _longer(hashes.ravel(), at)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[:, 0].view(np.int64))], ["place"])
+
+    return _bits(common.importable(counted.select("lang", "phrase")).mapInArrow(run, "place bigint"))
+
+
+def _windows(
+    words: list[bytes], lang: str, tables: list[np.ndarray], longest: int
+) -> tuple[list[bytes], np.ndarray]:
+    """Distinct words, and windows of places among them from 1, with 0 for none.
+
+    A window begins with one word more than the tables know, of which both parts are frequent,
+    and goes on, up to ``longest`` words, with words that end a frequent part of that length.
+    """
+    known, ids, hashes = _places(words, lang, tables[0])
+    for table in tables[1:]:
+        at = _adjacent(hashes)
+        found = _longer(hashes, at)
+        kept = _has(table, found)
+        hashes = np.zeros(len(hashes) - 1, np.uint64)
+        hashes[at[kept]] = found[kept]
+    first = _adjacent(hashes)
+    columns = [ids[first + k] for k in range(len(tables) + 1)]
     more = np.ones(len(first), bool)
-    for k in range(2, LONGEST):
-        more = more & goes_on[first + k - 1]
+    for k in range(len(tables) + 1, longest):
+        more = more & (hashes[first + k + 1 - len(tables)] != 0)
         columns.append(np.where(more, ids[first + k], 0))
     return known, np.stack(columns, axis=1).astype(np.int32)
 
@@ -179,11 +208,15 @@ def _windows(words: list[bytes], lang: str, tables: tuple[np.ndarray, np.ndarray
 def _summed(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows in order with the sums of their ``n``."""
     wide = rows.astype(np.int64)
-    keys = [wide[:, 0] << 32 | wide[:, 1], wide[:, 2] << 32 | wide[:, 3], wide[:, 4]]
+    if wide.shape[1] % 2:
+        wide = np.pad(wide, ((0, 0), (0, 1)))
+    keys = [wide[:, k] << 32 | wide[:, k + 1] for k in range(0, wide.shape[1], 2)]
     order = np.lexsort(keys[::-1])
-    keys = [k[order] for k in keys]
-    new = np.ones(len(order), bool)
-    new[1:] = (keys[0][1:] != keys[0][:-1]) | (keys[1][1:] != keys[1][:-1]) | (keys[2][1:] != keys[2][:-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for key in keys:
+        key = key[order]
+        new[1:] |= key[1:] != key[:-1]
     at = np.flatnonzero(new)
     return rows[order[at]], np.add.reduceat(n[order], at) if len(at) else n[:0]
 
@@ -213,21 +246,54 @@ class _Held:
         return known, *_summed(rank[np.concatenate(self.rows)], np.concatenate(self.n))
 
 
-def _sum_windows(texts: DataFrame, tables: tuple[np.ndarray, np.ndarray], cuts: list[tuple]):
+def _task_windows(
+    batches: Iterator[pa.RecordBatch], tables: list[np.ndarray], longest: int
+) -> Iterator[tuple[str, list[bytes], np.ndarray, np.ndarray]]:
+    """Per language the words, distinct windows and their numbers in a task, or in a part of it."""
+    held: dict[str, _Held] = {}
+    for texts in _gathered(batches):
+        for lang, part in texts.items():
+            held.setdefault(lang, _Held()).add(*_windows(_words(part), lang, tables, longest))
+        if sum(h.size for h in held.values()) > HELD:
+            for lang, of in held.items():
+                yield lang, *of.summed()
+            held.clear()
+    for lang, of in held.items():
+        yield lang, *of.summed()
+
+
+def _counted(texts: DataFrame, tables: list[np.ndarray], least: int) -> DataFrame:
+    """lang, phrase, f of the sequences of one word more than the tables know, space-joined,
+    with ``least`` occurrences or more."""
+    sent = texts.sparkSession.sparkContext.broadcast(tables)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, known, rows, n in _task_windows(batches, sent.value, len(sent.value) + 1):
+            words = pa.array(known, pa.binary()).cast(pa.string())
+            for start in range(0, len(rows), SENT):
+                part = rows[start : start + SENT] - 1
+                phrases = pc.binary_join_element_wise(*(words.take(pa.array(w)) for w in part.T), " ")
+                langs = pa.array([lang] * len(part), pa.string())
+                yield pa.RecordBatch.from_arrays([langs, phrases, pa.array(n[start : start + SENT])], ["lang", "phrase", "n"])
+
+    counted = common.importable(texts).mapInArrow(run, "lang string, phrase string, n bigint")
+    # A task sends each sequence about once and in order, so it is dealt out as it is.
+    sums = counted.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
+    return common.written(sums.where(F.col("f") >= least), f"sequences-{len(tables) + 1}")
+
+
+def _sum_windows(texts: DataFrame, tables: list[np.ndarray], cuts: list[tuple]):
     """range, lang, w0 to w4, n of windows summed within a task; the range of each is by ``cuts``."""
     sent = texts.sparkSession.sparkContext.broadcast((tables, cuts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, cuts = sent.value
-        held: dict[str, _Held] = {}
-
-        def ranged(lang: str) -> Iterator[pa.RecordBatch]:
-            known, rows, n = held[lang].summed()
+        for lang, known, rows, n in _task_windows(batches, tables, LONGEST):
             names = [None, *known]
             low = bisect_left(cuts, (lang,))
             # A cut begins its range: where it would stand among the windows.
             own = [c[1:] for c in cuts[low : bisect_left(cuts, (lang + "\0",))]]
-            tuples = lambda i: tuple(names[k] for k in rows[i].tolist() if k)
+            tuples = lambda i: tuple(names[k] for k in rows[i].tolist() if k)  # noqa: B023, E731
             at = [bisect_left(range(len(rows)), c, key=tuples) for c in own]
             ranges = low + np.searchsorted(np.array(at, np.int64), np.arange(len(rows)), "right")
             words = pa.array(known, pa.binary()).cast(pa.string())
@@ -238,16 +304,6 @@ def _sum_windows(texts: DataFrame, tables: tuple[np.ndarray, np.ndarray], cuts:
                 columns += [words.take(pa.array(rows[part, k] - 1, mask=rows[part, k] == 0)) for k in range(LONGEST)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(n[part])], ["range", "lang", *_W, "n"])
 
-        for texts in _gathered(batches):
-            for lang, part in texts.items():
-                held.setdefault(lang, _Held()).add(*_windows(_words(part), lang, tables))
-            if sum(h.size for h in held.values()) > HELD:
-                for lang in held:
-                    yield from ranged(lang)
-                held.clear()
-        for lang in held:
-            yield from ranged(lang)
-
     named = ", ".join(f"{w} string" for w in _W)
     return common.importable(texts).mapInArrow(run, f"range int, lang string, {named}, n bigint")
 
@@ -272,9 +328,9 @@ def _flat(row) -> tuple:
     return (lang, *(w.encode() for w in words if w is not None))
 
 
-def _prefix_sums(least: int):
-    """Sums of all beginnings of two words or more of sorted windows (range, lang, w0 to w4, n) with
-    ``least`` or more.
+def _prefix_sums(least: int, shortest: int):
+    """Sums of all beginnings of ``shortest`` words or more of sorted windows (range, lang, w0 to
+    w4, n) with ``least`` or more.
 
     Those that touch an end of a range or batch are sent whatever their sum, as there may be
     more of them elsewhere.
@@ -297,7 +353,7 @@ def _prefix_sums(least: int):
                 column = batch.column(2 + k)
                 equal = pc.fill_null(pc.equal(column.slice(1), column.slice(0, rows - 1)), False)
                 same[1:] &= equal.to_numpy(zero_copy_only=False)
-                if k < 1:
+                if k < shortest - 1:
                     continue
                 valid = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False))
                 begin = np.flatnonzero(~same[valid])
@@ -318,8 +374,12 @@ def sequence_counts(texts: DataFrame, least: int = LEAST_COUNT) -> tuple[DataFra
     counts = word_counts(texts, least)
     sizes = counts.where("word IS NULL").select("lang", F.col("f").alias("n"))
     single = counts.where("word IS NOT NULL")
-    table = _bits(single.select(F.xxhash64("lang", "word").alias("place")))
-    tables = table, _frequent_pairs(texts, table, least)
+    tables = [_bits(single.select(F.xxhash64("lang", "word").alias("place")))]
+    grams = single.select("lang", F.array("word").alias("words"), "f")
+    while len(tables) < BY_LENGTH:
+        counted = _counted(texts, tables, least)
+        grams = grams.union(counted.select("lang", F.split("phrase", " ").alias("words"), "f"))
+        tables.append(_table(counted, len(tables) + 1))
     words = sizes.agg(F.sum("n")).first()[0] or 0
     parts = min(MOST_PARTS, max(1, -(-words // PART_WORDS)))
     drawn = min(1.0, parts * RANGES * SAMPLED * 4 / max(1, texts.count()))
@@ -327,10 +387,9 @@ def sequence_counts(texts: DataFrame, least: int = LEAST_COUNT) -> tuple[DataFra
     dealt = _sum_windows(texts, tables, cuts).repartition(parts, "range")
     ordered = dealt.sortWithinPartitions("range", "lang", *_W)
     named = ", ".join(f"{w} string" for w in _W)
-    sums = ordered.mapInArrow(_prefix_sums(least), f"lang string, {named}, f bigint")
+    sums = ordered.mapInArrow(_prefix_sums(least, len(tables) + 1), f"lang string, {named}, f bigint")
     sums = sums.groupBy("lang", *_W).agg(F.sum("f").alias("f")).where(F.col("f") >= least)
-    grams = sums.select("lang", F.array_compact(F.array(*_W)).alias("words"), "f")
-    return common.written(grams.union(single.select("lang", F.array("word"), "f")), "sequences"), sizes
+    return common.written(grams.union(sums.select("lang", F.array_compact(F.array(*_W)), "f")), "sequences"), sizes
 
 
 # Streams of counts

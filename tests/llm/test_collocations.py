@@ -106,3 +106,20 @@ def test_odd_documents(odd, clashing, nothing):
     assert found(collocations.collocations(odd, 2, top=50)) == want and want
     assert found(collocations.collocations(clashing, 2, top=50)) == want
     assert collocations.collocations(nothing).collect() == []
+
+
+def test_windows_are_sent_of_long_sequences_only(spark, monkeypatch):
+    """Pairs are frequent everywhere here; if each task sent them again, rows would be tasks times pairs."""
+    sent, windows = [], collocations._sum_windows
+    monkeypatch.setattr(collocations, "_sum_windows", lambda *a: sent.append(windows(*a)) or sent[-1])
+    rnd = random.Random(3)
+    rows = [("en", " ".join(f"w{rnd.randrange(20)}" for _ in range(200))) for _ in range(20)]
+    rows += [("en", "one two three four five six")] * 10
+    texts = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    grams, _ = collocations.sequence_counts(texts, 8)
+    want = counts_of(rows)["en"]
+    assert {tuple(r.words): r.f for r in grams.collect()} == {w: n for w, n in want.items() if n >= 8}
+    assert sum(n >= 8 for w, n in want.items() if len(w) == 2) > 200
+    made = [tuple(w for w in (r.w0, r.w1, r.w2, r.w3, r.w4) if w) for r in sent[-1].collect()]
+    passage = ("one", "two", "three", "four", "five", "six")
+    assert set(made) == {passage[:5], passage[1:], passage[2:]} and len(made) <= 3 * 4
